@@ -9,8 +9,10 @@ Unrolled, an EMA is a sum of earlier terms weighted by powers of ``decay``. The
 sum is built in rounds. After a round that covers ``reach`` rows, adding the
 partial sums found 1, 2 and 3 times ``reach`` rows earlier covers ``4 * reach``
 rows. All rounds are ``lag`` windows on one partitioning and one sort. Rounds
-end when the reach covers the longest partition, or when the weight has become
-exactly 0.0 as a double. Only positive powers occur, so nothing overflows.
+end when the reach covers the longest partition, or when all that is older could
+not change the last bit of the sum: closes are positive, so the sum is at least
+the smallest close, and older rows add at most ``decay ** reach`` times the
+largest. Only positive powers occur, so nothing overflows.
 """
 
 from __future__ import annotations
@@ -19,12 +21,15 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RADIX = 4
 
+# Well below the relative precision of a double, 2 ** -53.
+LAST_BIT = 2.0**-60
+
 
 class ChunkColumns(NamedTuple):
     """Columns that place a row in a split sequence: its number, its chunk, its
@@ -53,46 +58,52 @@ def column(span: int) -> str:
 
 
 def seeded_ema(
-    rows: DataFrame, spans: Iterable[int], window: WindowSpec, most_rows: int
+    rows: DataFrame, spans: Iterable[int], window: str, most_rows: int, spread: float
 ) -> DataFrame:
     """EMAs that start with the first close of each window partition.
 
-    ``most_rows`` is the size of the largest partition.
+    ``most_rows`` is the size of the largest partition; ``spread`` bounds the
+    ratio of two closes, and is infinite when a close is not positive.
     """
-    first = F.row_number().over(window) == 1
-    terms = {
-        column(s): F.when(first, F.col("close")).otherwise(alpha(s) * F.col("close")) for s in spans
-    }
-    return _scan(rows, terms, spans, window, most_rows)
+    seed = f"CASE WHEN row_number() OVER ({window}) = 1 THEN close ELSE {{}} * close END"
+    return _scan(rows, seed, tuple(spans), window, most_rows, spread)
 
 
 def unseeded_ema(
-    rows: DataFrame, spans: Iterable[int], window: WindowSpec, most_rows: int
+    rows: DataFrame, spans: Iterable[int], window: str, most_rows: int, spread: float
 ) -> DataFrame:
     """The part of each EMA that comes from the window partition itself."""
-    terms = {column(s): alpha(s) * F.col("close") for s in spans}
-    return _scan(rows, terms, spans, window, most_rows)
+    return _scan(rows, "{} * close", tuple(spans), window, most_rows, spread)
 
 
-def _scan(rows, terms, spans, window, most_rows) -> DataFrame:
-    rows = rows.withColumns(terms) if terms else rows
+def _scan(rows, term, spans, window, most_rows, spread) -> DataFrame:
+    if spans:
+        rows = rows.withColumns({column(s): F.expr(term.format(_double(alpha(s)))) for s in spans})
+    negligible = LAST_BIT / spread
     reach = 1
-    while reach < most_rows and any(decay(s) ** reach > 0.0 for s in spans):
-        rows = rows.withColumns(
-            {column(s): _round(s, reach, window) for s in spans if decay(s) ** reach > 0.0}
-        )
+    while reach < most_rows:
+        open_spans = [s for s in spans if decay(s) ** reach > negligible]
+        if not open_spans:
+            break
+        rows = rows.withColumns({column(s): _round(s, reach, window) for s in open_spans})
         reach *= RADIX
     return rows
 
 
-def _round(span: int, reach: int, window: WindowSpec) -> Column:
-    partial = F.col(column(span))
-    total = partial
-    for back in range(reach, RADIX * reach, reach):
-        weight = decay(span) ** back
-        if weight > 0.0:
-            total = total + F.lit(weight) * F.lag(partial, back, 0.0).over(window)
-    return total
+def _round(span: int, reach: int, window: str) -> Column:
+    name = column(span)
+    weights = {back: decay(span) ** back for back in range(reach, RADIX * reach, reach)}
+    earlier = [
+        f"{_double(weight)} * lag({name}, {back}, 0D) OVER ({window})"
+        for back, weight in weights.items()
+        if weight > 0.0
+    ]
+    return F.expr(" + ".join([name, *earlier]))
+
+
+def _double(value: float) -> str:
+    """A double as a SQL literal."""
+    return f"{value!r}D"
 
 
 def chunk_carries(
@@ -183,11 +194,14 @@ def grouped_ema(rows: DataFrame, spans: Iterable[int], order: Iterable[str]) ->
     A group is one task's memory: only for symbols of a checked size.
     """
     spans, order = tuple(spans), list(order)
+    outputs = {column(s): s for s in spans}
 
+    # Uses local names only, so workers need not have this package installed.
     def add_emas(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)
+        close = group["close"]
         return group.assign(
-            **{column(s): group["close"].ewm(span=s, adjust=False).mean() for s in spans}
+            **{name: close.ewm(span=s, adjust=False).mean() for name, s in outputs.items()}
         )
 
     schema = T.StructType(

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from itertools import zip_longest
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date
 from wickflow.operators.ema import grouped_ema
-from wickflow.operators.sequence import ORDER, Limits, over_symbol_rows, symbol_sizes
+from wickflow.operators.sequence import ORDER, Frames, Limits, measure, over_symbol_rows
 from wickflow.schemas import FEATURE_SPANS, FEATURES, RSI_ROWS
 from wickflow.sources.raw import slice_lookback
 
@@ -25,53 +26,147 @@ INPUTS = ["symbol", "candle_close_time", "close"]
 FRAME_ROWS = max(FEATURE_SPANS) + 1
 
 
-def _before(window: WindowSpec, rows: int) -> WindowSpec:
-    return window.rowsBetween(-rows, -1)
+# Columns by dependency: a layer reads the input and the layers before it. All
+# window expressions of a layer share one pass over the sorted rows. ``{w}``
+# stands for the window; names that start with an underscore are intermediate.
+Layers = list[dict[str, str]]
 
 
-def add_returns(rows: DataFrame, window: WindowSpec) -> DataFrame:
-    """Log return over one row, simple return over five. NULL on a zero divisor."""
-    close = F.col("close")
-    before = F.lag("close", 5).over(window)
-    return rows.withColumns(
-        {
-            "log_return_1": F.log(F.try_divide(close, F.lag("close").over(window))),
-            "return_5": F.try_divide(close - before, before),
-        }
-    )
+def _trailing(aggregate: str, rows: int) -> str:
+    return f"{aggregate} OVER ({{w}} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)"
 
 
-def add_moving_averages(rows: DataFrame, window: WindowSpec) -> DataFrame:
-    return rows.withColumns(
-        {f"ma_{n}": F.avg("close").over(_before(window, n)) for n in FEATURE_SPANS}
-    )
+def _lag(name: str, back: int, empty: str = "NULL") -> str:
+    return f"lag({name}, {back}, {empty}) OVER ({{w}})"
 
 
-def add_volatility(rows: DataFrame, window: WindowSpec) -> DataFrame:
-    """Sample standard deviation of the log returns; needs ``log_return_1``."""
-    return rows.withColumns(
-        {f"vol_{n}": F.stddev_samp("log_return_1").over(_before(window, n)) for n in FEATURE_SPANS}
-    )
+def _steps(spans: Iterable[int]) -> list[tuple[int, int, list[int]]]:
+    """``(span, shorter, backs)``: a frame of ``span`` rows is a frame of
+    ``shorter`` rows and those that lie ``backs`` rows earlier."""
+    spans = list(spans)
+    steps = []
+    for shorter, span in zip(spans, spans[1:]):
+        if span % shorter:
+            raise ValueError(f"{span} is not a multiple of {shorter}")
+        steps.append((span, shorter, list(range(shorter, span, shorter))))
+    return steps
 
 
-def add_rsi(rows: DataFrame, window: WindowSpec) -> DataFrame:
-    """RSI over plain means of 14 gains and losses.
+def return_layers() -> Layers:
+    """Log return over one row, simple return over five. NULL on a zero divisor."""
+    return [
+        {"_previous": _lag("close", 1), "_fifth": _lag("close", 5)},
+        {
+            "log_return_1": "ln(try_divide(close, _previous))",
+            "return_5": "try_divide(close - _fifth, _fifth)",
+        },
+    ]
+
+
+def mean_layers(spans: Iterable[int] = FEATURE_SPANS) -> Layers:
+    """Trailing means.
+
+    Sum and count of a frame add up those of shorter frames, so a row costs a few
+    additions and not one for every row of its longest frame.
+    """
+    spans = list(spans)
+    base = spans[0]
+    layers = [
+        {
+            f"_sum_{base}": f"coalesce({_trailing('sum(close)', base)}, 0D)",
+            f"_count_{base}": _trailing("count(close)", base),
+        }
+    ]
+    for span, shorter, backs in _steps(spans):
+        layers.append(
+            {
+                f"_{part}_{span}": " + ".join(
+                    [f"_{part}_{shorter}", *(_lag(f"_{part}_{shorter}", b, zero) for b in backs)]
+                )
+                for part, zero in (("sum", "0D"), ("count", "0L"))
+            }
+        )
+    return [*layers, {f"ma_{n}": f"try_divide(_sum_{n}, _count_{n})" for n in spans}]
+
+
+def volatility_layers(spans: Iterable[int] = FEATURE_SPANS) -> Layers:
+    """Sample standard deviation of the log returns.
+
+    Count, mean and squared deviations of a frame are merged from those of shorter
+    frames. Deviations are taken from means, so large terms do not cancel.
+    """
+    spans = list(spans)
+    base = spans[0]
+    layers: Layers = [
+        {"_previous": _lag("close", 1)},
+        {"log_return_1": "ln(try_divide(close, _previous))"},
+        {
+            f"_n_{base}": _trailing("count(log_return_1)", base),
+            f"_mean_{base}": f"coalesce({_trailing('avg(log_return_1)', base)}, 0D)",
+            f"_var_{base}": f"coalesce({_trailing('var_pop(log_return_1)', base)}, 0D)",
+        },
+        {f"_dev_{base}": f"_n_{base} * _var_{base}"},
+    ]
+    for span, shorter, backs in _steps(spans):
+        lagged = {
+            f"_{part}_{shorter}_{b}": _lag(f"_{part}_{shorter}", b, zero)
+            for b in backs
+            for part, zero in (("n", "0L"), ("mean", "0D"), ("dev", "0D"))
+        }
+        parts = [str(shorter), *(f"{shorter}_{b}" for b in backs)]
+        count = " + ".join(f"_n_{p}" for p in parts)
+        total = " + ".join(f"_n_{p} * _mean_{p}" for p in parts)
+        within = " + ".join(f"_dev_{p}" for p in parts)
+        between = " + ".join(f"_n_{p} * power(_mean_{p} - _mean_{span}, 2)" for p in parts)
+        layers += [
+            lagged,
+            {
+                f"_n_{span}": count,
+                f"_mean_{span}": f"coalesce(try_divide({total}, {count}), 0D)",
+            },
+            {f"_dev_{span}": f"{within} + {between}"},
+        ]
+    last = {
+        f"vol_{n}": f"CASE WHEN _n_{n} > 1 THEN sqrt(_dev_{n} / (_n_{n} - 1)) END" for n in spans
+    }
+    return [*layers, last]
+
+
+def rsi_layers(rows: int = RSI_ROWS) -> Layers:
+    """RSI over plain means of gains and losses.
 
     ``greatest`` ignores NULL, so the first row of a symbol counts as a gain and
     a loss of 0.
     """
-    change = F.col("close") - F.lag("close").over(window)
-    moves = rows.withColumns(
-        {"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0))}
-    )
-    gain = F.avg("_gain").over(_before(window, RSI_ROWS))
-    loss = F.avg("_loss").over(_before(window, RSI_ROWS))
-    means = moves.withColumns({"_mean_gain": gain, "_mean_loss": loss})
-    strength = F.try_divide("_mean_gain", "_mean_loss")
-    return means.withColumn(
-        "rsi_14",
-        F.when(F.col("_mean_loss") == 0, 100.0).otherwise(100 - 100 / (1 + strength)),
-    ).drop("_gain", "_loss", "_mean_gain", "_mean_loss")
+    return [
+        {"_previous": _lag("close", 1)},
+        {
+            "_gain": "greatest(close - _previous, 0D)",
+            "_loss": "greatest(_previous - close, 0D)",
+        },
+        {
+            "_mean_gain": _trailing("avg(_gain)", rows),
+            "_mean_loss": _trailing("avg(_loss)", rows),
+        },
+        {
+            f"rsi_{rows}": "CASE WHEN _mean_loss = 0 THEN 100D "
+            "ELSE 100 - 100 / (1 + try_divide(_mean_gain, _mean_loss)) END"
+        },
+    ]
+
+
+def frames_of(*features: Layers) -> Frames:
+    """The features' layers, side by side, as one function of rows and window."""
+
+    def frames(rows: DataFrame, window: str) -> DataFrame:
+        names = rows.columns
+        for layer in zip_longest(*features, fillvalue={}):
+            columns = {name: sql for part in layer for name, sql in part.items()}
+            rows = rows.withColumns({n: F.expr(sql.format(w=window)) for n, sql in columns.items()})
+            names += [name for name in columns if not name.startswith("_")]
+        return rows.select(*names)
+
+    return frames
 
 
 def add_calendar(rows: DataFrame) -> DataFrame:
@@ -85,24 +180,23 @@ def add_calendar(rows: DataFrame) -> DataFrame:
 
 
 def returns(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), add_returns, 5, limits=limits)
+    frames = frames_of(return_layers())
+    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
 
 
 def moving_averages(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(
-        candles.select(*INPUTS), add_moving_averages, FRAME_ROWS, limits=limits
-    )
+    frames = frames_of(mean_layers())
+    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
 
 
 def volatility(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    def frames(rows: DataFrame, window: WindowSpec) -> DataFrame:
-        return add_volatility(add_returns(rows, window), window).drop("return_5")
-
+    frames = frames_of(volatility_layers())
     return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
 
 
 def rsi(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), add_rsi, RSI_ROWS + 1, limits=limits)
+    frames = frames_of(rsi_layers())
+    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
 
 
 def ema(
@@ -116,7 +210,7 @@ def ema_grouped(
 ) -> DataFrame:
     """EMAs by grouped map; a symbol too large for one task goes to ``ema``."""
     rows = candles.select(*INPUTS)
-    if symbol_sizes(rows)[0] > limits.symbol_rows:
+    if measure(rows).largest > limits.symbol_rows:
         return ema(candles, spans, limits)
     return grouped_ema(rows, spans, ORDER)
 
@@ -124,10 +218,7 @@ def ema_grouped(
 def features(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All 20 feature columns for every candle, the first one seeding the EMAs."""
 
-    def frames(rows: DataFrame, window: WindowSpec) -> DataFrame:
-        rows = add_moving_averages(add_returns(rows, window), window)
-        return add_rsi(add_volatility(rows, window), window)
-
+    frames = frames_of(return_layers(), mean_layers(), volatility_layers(), rsi_layers())
     rows = over_symbol_rows(
         candles.select(*INPUTS), frames, FRAME_ROWS, FEATURE_SPANS, limits=limits
     )

@@ -20,10 +20,12 @@ first; beyond ``Limits.symbol_rows`` the sequence is split:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.operators.ema import (
@@ -39,7 +41,8 @@ from wickflow.session import scratch_path
 # the features read, so their values never depend on the order rows arrive in.
 ORDER = ("candle_close_time", "close")
 
-Frames = Callable[[DataFrame, WindowSpec], DataFrame]
+# Adds columns given the rows and a window specification in SQL.
+Frames = Callable[[DataFrame, str], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -47,16 +50,37 @@ class Limits:
     """``symbol_rows``: most rows of one symbol that a single task may hold.
     ``partition_rows``, ``chunk_rows``: sizes used when splitting."""
 
-    symbol_rows: int = 2_000_000
+    symbol_rows: int = 1_000_000
     partition_rows: int = 4_000_000
     chunk_rows: int = 131_072
 
 
-def symbol_sizes(candles: DataFrame) -> tuple[int, int]:
-    """Rows of the largest symbol, and of all symbols."""
-    sizes = candles.groupBy("symbol").count()
-    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-    return largest or 0, total or 0
+class Sizes(NamedTuple):
+    """Rows of the largest symbol, rows in all, largest ratio of two closes."""
+
+    largest: int
+    total: int
+    spread: float
+
+
+def measure(candles: DataFrame, closes: bool = False) -> Sizes:
+    """Sizes of the input, from one aggregate that combines on the map side.
+
+    Only with ``closes`` is the close column read.
+    """
+    per_symbol = candles.groupBy("symbol").agg(
+        F.count("*").alias("n"),
+        *([F.min("close").alias("low"), F.max("close").alias("high")] if closes else []),
+    )
+    found = per_symbol.agg(
+        F.max("n").alias("largest"),
+        F.sum("n").alias("total"),
+        *([F.min("low").alias("low"), F.max("high").alias("high")] if closes else []),
+    ).first()
+    spread = math.inf
+    if closes and found.low is not None and 0.0 < found.low <= found.high < math.inf:
+        spread = found.high / found.low
+    return Sizes(found.largest or 0, found.total or 0, spread)
 
 
 def over_symbol_rows(
@@ -75,27 +99,35 @@ def over_symbol_rows(
 
 
 def _by_symbol(candles, frames, frame_rows, spans, limits, order, level) -> DataFrame:
-    largest, total = symbol_sizes(candles)
-    if largest > limits.symbol_rows:
-        return _by_chunk(candles, frames, frame_rows, spans, limits, order, level, total)
-    window = Window.partitionBy("symbol").orderBy(*order)
-    rows = candles if frames is None else frames(candles, window)
-    return seeded_ema(rows, spans, window, largest)
-
-
-def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, total) -> DataFrame:
-    partitions = -(-total // limits.partition_rows)
+    sizes = measure(candles, closes=bool(spans))
+    if sizes.largest > limits.symbol_rows:
+        return _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes)
+    window = f"PARTITION BY symbol ORDER BY {', '.join(order)}"
+    rows = seeded_ema(candles, spans, window, sizes.largest, sizes.spread)
+    return rows if frames is None else frames(rows, window)
+
+
+def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes) -> DataFrame:
+    # Each level has to leave fewer rows of a symbol for the next.
+    if min(limits.symbol_rows, limits.partition_rows, limits.chunk_rows) < 8 * frame_rows:
+        raise ValueError(f"limits are too small for frames of {frame_rows} rows")
+    partitions = -(-sizes.total // limits.partition_rows)
     names = ChunkColumns.at(level)
-    by_chunk = Window.partitionBy("symbol", names.chunk)
-    window = by_chunk.orderBy(names.row)
+    by_chunk = f"PARTITION BY symbol, {names.chunk}"
+    window = f"{by_chunk} ORDER BY {names.row}"
     chunks = _numbered_chunks(candles, order, names, partitions, limits.chunk_rows).withColumns(
-        {names.place: F.row_number().over(window), names.size: F.count("*").over(by_chunk)}
+        {
+            names.place: F.expr(f"row_number() OVER ({window})"),
+            names.size: F.expr(f"count(*) OVER ({by_chunk})"),
+        }
     )
     # A range partition ends its last chunk early, hence one more per partition.
-    carries = chunk_carries(chunks, names, spans, total // limits.chunk_rows + 2 * partitions)
+    carries = chunk_carries(
+        chunks, names, spans, sizes.total // limits.chunk_rows + 2 * partitions
+    )
 
     def with_emas(rows: DataFrame) -> DataFrame:
-        return unseeded_ema(rows, spans, window, limits.chunk_rows)
+        return unseeded_ema(rows, spans, window, limits.chunk_rows, sizes.spread)
 
     def carried(rows: DataFrame) -> DataFrame:
         return add_carries(rows, carries, names, spans).drop(*names)
@@ -104,7 +136,7 @@ def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, total) -
         return carried(with_emas(chunks))
 
     place, size = F.col(names.place), F.col(names.size)
-    inner = with_emas(frames(chunks, window)).filter(place > frame_rows)
+    inner = frames(with_emas(chunks), window).filter(place > frame_rows)
     edges = chunks.filter((place <= frame_rows) | (place > size - frame_rows))
     heads = _by_symbol(edges, frames, frame_rows, (), limits, [names.row], level + 1)
     heads = with_emas(heads.filter(place <= frame_rows))
