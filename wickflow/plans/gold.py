@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickflow.functions.calendar import parse_date
 from wickflow.functions.kline import EXCHANGE, SYMBOLS
@@ -14,6 +15,7 @@ from wickflow.operators.features import feature_snapshot
 from wickflow.operators.ohlc import ohlc
 from wickflow.operators.partitions import next_gold_date, raw_partitions
 from wickflow.operators.sequence import Limits
+from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
 from wickflow.session import configure
 from wickflow.sources.raw import (
     month_of,
@@ -27,11 +29,13 @@ LOOKBACK_DAYS = 60
 
 # Gold slices are named by the processed date or month. A bar's own date can
 # differ from it for a candle that starts before midnight and closes after.
-SLICE = {
-    "hourly_ohlc": "slice_date",
-    "daily_ohlc": "slice_date",
-    "monthly_ohlc": "slice_month",
-    "features": "slice_date",
+SLICE_DATE = T.StructField("slice_date", T.DateType())
+SLICE_MONTH = T.StructField("slice_month", T.StringType())
+TABLES = {
+    "hourly_ohlc": (HOURLY_OHLC, SLICE_DATE),
+    "daily_ohlc": (DAILY_OHLC, SLICE_DATE),
+    "monthly_ohlc": (MONTHLY_OHLC, SLICE_MONTH),
+    "features": (FEATURES, SLICE_DATE),
 }
 
 
@@ -90,7 +94,7 @@ def publish(
     slice_value = {"slice_date": F.lit(parse_date(date)), "slice_month": F.lit(month_of(date))}
     counts = {}
     for name, table in tables.items():
-        column = SLICE[name]
+        column = TABLES[name][1].name
         rows = table.withColumns({"exchange": F.lit(exchange), column: slice_value[column]})
         counts[name] = replace_slices(
             rows, f"{gold_path}/{name}", ["exchange", "symbol", column]
@@ -145,5 +149,8 @@ def refresh(
 
 
 def gold_table(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
-    """A published table, with its slice columns."""
-    return spark.read.parquet(f"{gold_path}/{name}")
+    """A published table: its columns, then exchange and slice."""
+    schema, slice_column = TABLES[name]
+    exchange = T.StructField("exchange", T.StringType())
+    full = T.StructType([*schema.fields, exchange, slice_column])
+    return spark.read.schema(full).parquet(f"{gold_path}/{name}").select(*full.fieldNames())
