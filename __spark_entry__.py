@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickflow.functions import calendar
-from wickflow.functions.kline import kline_messages, parse_klines
+from wickflow.functions.kline import kline_message, parse_klines
 from wickflow.operators import features as ft
 from wickflow.operators import ohlc as bars
 from wickflow.operators import partitions as parts
@@ -82,17 +82,16 @@ def raw_candles_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A message per candle, and as many of each kind that has to be left out."""
-    rows = candles(spark, sf_dir)
     number = F.unix_millis("candle_start_time")
-    reply = F.to_json(F.struct(F.lit(None).alias("result"), number.alias("id")))
-    return (
-        kline_messages(rows)
-        .union(kline_messages(rows, closed=False))
-        .union(kline_messages(rows.withColumn("symbol", F.concat("symbol", F.lit("_other")))))
-        .union(kline_messages(rows.withColumn("interval", F.lit("5m"))))
-        .union(rows.select(reply))
-        .union(rows.select(F.concat(F.lit("{no json "), number)))
-    )
+    texts = [
+        kline_message(),
+        kline_message(closed=False),
+        kline_message(symbol=F.concat("symbol", F.lit("_other"))),
+        kline_message(interval=F.lit("5m")),
+        F.to_json(F.struct(F.lit(None).alias("result"), number.alias("id"))),
+        F.concat(F.lit("{no json "), number),
+    ]
+    return candles(spark, sf_dir).select(F.explode(F.array(*texts)).alias("value"))
 
 
 def parse_kline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from wickflow.schemas import RAW_CANDLES  # noqa: E402
-from wickflow.session import configure  # noqa: E402
+from wickflow.session import configure, with_static_settings  # noqa: E402
 
 UTC = dt.timezone.utc
 
@@ -16,7 +16,7 @@ UTC = dt.timezone.utc
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        with_static_settings(SparkSession.builder.master("local[4]"))
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -153,6 +153,29 @@ def test_snapshot_cuts_to_the_date_after_the_lookback(spark, frame):
     assert_close(got, expected)
 
 
+def test_snapshot_equals_all_features_of_the_lookback(frame):
+    """Symbols with much, little and no history, one without rows on the date."""
+    from wickflow.sources.raw import slice_lookback, with_start_date
+
+    rows = (
+        series("LONG", walk(19, 3000), start="2024-01-02T00:00:00")
+        + series("SHORT", walk(20, 60), start="2024-01-03T23:30:00")
+        + series("NEW", walk(21, 40), start="2024-01-04T08:00:00")
+        + series("GONE", walk(22, 40), start="2024-01-02T08:00:00")
+        + series("NEXT", walk(23, 5), start="2024-01-05T00:00:00")
+    )
+    raw = with_start_date(frame(rows))
+    whole = ft.features(slice_lookback(raw, "2024-01-04", 3)).filter("to_date(ts) = '2024-01-04'")
+    expected = collected(whole)
+    assert sorted(expected.symbol.unique()) == ["LONG", "NEW", "SHORT"]
+    for limits in (Limits(), SPLIT):
+        got = collected(ft.feature_snapshot(raw, "2024-01-04", 3, limits=limits))
+        assert list(got.ts) == list(expected.ts) and list(got.symbol) == list(expected.symbol)
+        assert_close(got, expected.drop(columns=["symbol", "ts"]))
+    some = ft.feature_snapshot(raw, "2024-01-04", 3, ["NEW"])
+    assert collected(some).symbol.unique() == ["NEW"]
+
+
 def test_one_shuffle_and_one_sort(frame):
     plan = ft.features(frame(series("A", walk(18, 5))))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1

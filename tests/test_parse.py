@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from wickflow.functions.kline import kline_messages, parse_klines, stream_names
+from wickflow.functions.kline import kline_message, parse_klines, stream_names
 from wickflow.schemas import RAW_CANDLES, RAW_COLUMNS
 
 from conftest import candle
@@ -75,7 +75,7 @@ def test_symbols_are_matched_in_upper_case(spark):
 
 def test_messages_round_trip(frame):
     rows = frame([candle("BTCUSDT", "2024-02-29T23:59:00", 10.25, open=10, high=11.5, low=9.75)])
-    parsed = parse_klines(kline_messages(rows))
+    parsed = parse_klines(rows.select(kline_message().alias("value")))
     names = [c for c in RAW_COLUMNS if c != "ingestion_timestamp"]
     assert parsed.select(names).collect() == rows.select(names).collect()
 

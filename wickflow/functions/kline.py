@@ -83,22 +83,21 @@ def parse_klines(
     return candles.select(*RAW_COLUMNS)
 
 
-def kline_messages(candles: DataFrame, closed: bool = True) -> DataFrame:
-    """The message an exchange sends for each candle: the inverse of parsing."""
-
-    def millis(name: str) -> Column:
-        return F.unix_millis(name)
-
+def kline_message(
+    closed: bool = True, symbol: Column | str = "symbol", interval: Column | str = "interval"
+) -> Column:
+    """The message an exchange sends for a raw candle row: the inverse of parsing."""
     body = F.struct(
-        millis("candle_start_time").alias("t"),
-        millis("candle_close_time").alias("T"),
-        F.col("symbol").alias("s"),
-        F.col("interval").alias("i"),
+        F.unix_millis("candle_start_time").alias("t"),
+        F.unix_millis("candle_close_time").alias("T"),
+        (F.col(symbol) if isinstance(symbol, str) else symbol).alias("s"),
+        (F.col(interval) if isinstance(interval, str) else interval).alias("i"),
         F.col("open").cast("string").alias("o"),
         F.col("high").cast("string").alias("h"),
         F.col("low").cast("string").alias("l"),
         F.col("close").cast("string").alias("c"),
         F.lit(closed).alias("x"),
     )
-    data = F.struct(F.lit("kline").alias("e"), millis("event_time").alias("E"), body.alias("k"))
-    return candles.select(F.to_json(F.struct(data.alias("data"))).alias("value"))
+    event_time = F.unix_millis("event_time").alias("E")
+    data = F.struct(F.lit("kline").alias("e"), event_time, body.alias("k"))
+    return F.to_json(F.struct(data.alias("data")))

@@ -178,16 +178,35 @@ def add_carries(
     spans = tuple(spans)
     if not spans:
         return rows
-    joined = rows.join(carries, ["symbol", names.chunk])
-    return joined.withColumns(
+    return apply_carries(rows.join(carries, ["symbol", names.chunk]), spans, names.place)
+
+
+def apply_carries(rows: DataFrame, spans: Iterable[int], place: str) -> DataFrame:
+    """Adds what the ``carry`` columns leave after ``place`` rows."""
+    return rows.withColumns(
         {
             column(s): F.col(column(s))
-            + F.pow(F.lit(decay(s)), F.col(names.place)) * F.col(f"carry_{s}")
+            + F.pow(F.lit(decay(s)), F.col(place)) * F.col(f"carry_{s}")
             for s in spans
         }
     ).drop(*(f"carry_{s}" for s in spans))
 
 
+def carried_over(spans: Iterable[int]) -> dict[str, str]:
+    """SQL of the EMAs that a symbol's rows with ``_today`` false end in.
+
+    Needs ``_place`` and ``_size`` within (symbol, _today) and ``_seed``, the
+    symbol's first close, which is also the result when there are no such rows.
+    """
+    of_symbol = "OVER (PARTITION BY symbol)"
+    return {
+        f"carry_{s}": f"coalesce(sum(CASE WHEN NOT _today THEN {_double(alpha(s))} * close"
+        f" * power({_double(decay(s))}, _size - _place) END) {of_symbol}, 0D)"
+        f" + power({_double(decay(s))}, count_if(NOT _today) {of_symbol}) * _seed"
+        for s in spans
+    }
+
+
 def grouped_ema(rows: DataFrame, spans: Iterable[int], order: Iterable[str]) -> DataFrame:
     """EMAs by a grouped map in pandas, one group per symbol.
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date
-from wickflow.operators.ema import grouped_ema
+from wickflow.operators.ema import apply_carries, carried_over, grouped_ema, unseeded_ema
 from wickflow.operators.sequence import ORDER, Frames, Limits, measure, over_symbol_rows
 from wickflow.schemas import FEATURE_SPANS, FEATURES, RSI_ROWS
 from wickflow.sources.raw import slice_lookback
@@ -215,13 +215,19 @@ def ema_grouped(
     return grouped_ema(rows, spans, ORDER)
 
 
+def feature_frames() -> Frames:
+    return frames_of(return_layers(), mean_layers(), volatility_layers(), rsi_layers())
+
+
 def features(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All 20 feature columns for every candle, the first one seeding the EMAs."""
-
-    frames = frames_of(return_layers(), mean_layers(), volatility_layers(), rsi_layers())
     rows = over_symbol_rows(
-        candles.select(*INPUTS), frames, FRAME_ROWS, FEATURE_SPANS, limits=limits
+        candles.select(*INPUTS), feature_frames(), FRAME_ROWS, FEATURE_SPANS, limits=limits
     )
+    return _feature_table(rows)
+
+
+def _feature_table(rows: DataFrame) -> DataFrame:
     return (
         add_calendar(rows)
         .withColumnRenamed("candle_close_time", "ts")
@@ -236,10 +242,36 @@ def feature_snapshot(
     symbols: Iterable[str] | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Features of the candles that close on ``date``.
+    """Features of the candles that close on ``date``, as of its lookback.
 
-    Frames and EMAs run over the whole lookback, which the raw scan is pruned to;
-    the cut to the date comes last.
+    Only the lookback's partitions are scanned, once, and shuffled once. Earlier
+    days are summed up into one number per symbol and EMA. After that only their
+    last rows are kept, those that the frames of the date reach into, so most
+    window functions see little more than the date itself.
     """
-    lookback = slice_lookback(raw, date, lookback_days, symbols)
-    return features(lookback, limits).filter(F.to_date("ts") == F.lit(parse_date(date)))
+    lookback = slice_lookback(raw, date, lookback_days, symbols).select(*INPUTS)
+    midnight = dt.datetime.combine(parse_date(date), dt.time(), dt.timezone.utc)
+    start, end = F.lit(midnight), F.lit(midnight + dt.timedelta(days=1))
+
+    sizes = measure(lookback, closes=True)
+    if sizes.largest > limits.symbol_rows:
+        rows = features(lookback, limits)
+        return rows.filter((F.col("ts") >= start) & (F.col("ts") < end))
+
+    closed = F.col("candle_close_time")
+    rows = lookback.filter(closed < end).withColumn("_today", closed >= start)
+    by_part = "PARTITION BY symbol, _today"
+    in_part = f"{by_part} ORDER BY candle_close_time, close"
+    in_symbol = "PARTITION BY symbol ORDER BY _today, candle_close_time, close"
+    rows = rows.withColumns(
+        {
+            "_place": F.expr(f"row_number() OVER ({in_part})"),
+            "_size": F.expr(f"count(*) OVER ({by_part})"),
+            "_seed": F.expr(f"first_value(close) OVER ({in_symbol})"),
+        }
+    )
+    rows = rows.withColumns({n: F.expr(sql) for n, sql in carried_over(FEATURE_SPANS).items()})
+    rows = rows.filter(f"_today OR _place > _size - {FRAME_ROWS}")
+    rows = unseeded_ema(rows, FEATURE_SPANS, in_part, sizes.largest, sizes.spread)
+    rows = feature_frames()(rows, in_symbol).filter("_today")
+    return _feature_table(apply_carries(rows, FEATURE_SPANS, "_place"))

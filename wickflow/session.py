@@ -8,6 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings to start a session with; they cannot be changed later. The feature
+# plan has more generated classes than Spark's default cache holds (100), and a
+# cache too small would have every task compile all of them again.
+STATIC_SETTINGS = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
+
+def with_static_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    for key, value in STATIC_SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC: every date and hour here is a UTC one."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
