@@ -243,12 +243,12 @@ def next_gold_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def closed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open: the last days, partitions with a high above 200, those marked before."""
+    """Left out: the last days, partitions with a high above 300, those marked before."""
     raw = dated(spark, sf_dir)
     return parts.closed_partitions(
         parts.raw_partitions(raw),
-        pending=raw.filter("high > 200"),
-        closed=raw.filter("low < 0.05"),
+        pending=raw.filter("high > 300"),
+        closed=raw.filter("date < DATE '2024-01-05'"),
         as_of="2024-01-25",
     )
 
@@ -375,7 +375,9 @@ ema AS (
     FROM ema e JOIN numbered n ON n.symbol = e.symbol AND n.rn = e.rn + 1
 ),
 moves AS (
-    SELECT *, ln(close / nullif(lag(close) OVER w, 0)) AS log_return_1,
+    -- a logarithm of zero or less is NULL here, as in Spark
+    SELECT *, CASE WHEN close / nullif(lag(close) OVER w, 0) > 0
+                   THEN ln(close / nullif(lag(close) OVER w, 0)) END AS log_return_1,
            (close - lag(close, 5) OVER w) / nullif(lag(close, 5) OVER w, 0) AS return_5,
            greatest(coalesce(close - lag(close) OVER w, 0), 0) AS gain,
            greatest(coalesce(lag(close) OVER w - close, 0), 0) AS loss
@@ -494,8 +496,8 @@ def oracle_sql() -> dict[str, str]:
         "next_gold_date": _sql("SELECT date FROM chosen"),
         "closed_partitions": _sql(
             CLOSED
-            + """ AND (symbol, date) NOT IN (SELECT (symbol, date) FROM raw WHERE high > 200)
-                  AND (symbol, date) NOT IN (SELECT (symbol, date) FROM raw WHERE low < 0.05)"""
+            + """ AND date >= DATE '2024-01-05'
+                  AND (symbol, date) NOT IN (SELECT (symbol, date) FROM raw WHERE high > 300)"""
         ),
         "ingest_stream_to_raw": _sql(
             RAW_SELECT.format(
