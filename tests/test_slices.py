@@ -1,9 +1,11 @@
 import datetime as dt
+import shutil
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date, parse_month, utc_timestamp
 from wickflow.plans.landing import append_raw
@@ -109,8 +111,10 @@ def test_plain_folders_with_microseconds(spark, tmp_path):
 
 def test_inventory_skips_other_files(spark, tmp_path):
     plain_file(tmp_path, "BTCUSDT", "2026-01-13", "us")
-    plain_file(tmp_path, "BTCUSDT", "not-a-date", "us")
-    (tmp_path / "binance" / "BTCUSDT" / "2026-01-13" / "_SUCCESS").write_text("ok")
+    day = tmp_path / "binance" / "BTCUSDT" / "2026-01-13"
+    (day / "_SUCCESS").write_text("ok")
+    (day.parent / "no-date").mkdir()
+    shutil.copy(day / "f.parquet", day.parent / "no-date")
     files = raw.raw_files(spark, str(tmp_path))
     assert files.count() == 2
     found = raw.inventory(files, raw.RAW_FILE_PATTERN).collect()
@@ -118,7 +122,6 @@ def test_inventory_skips_other_files(spark, tmp_path):
 
 
 def test_utc_timestamp(spark):
-    row = spark.sql("SELECT '2024-01-01T05:00:00+05:00' AS t").select(
-        utc_timestamp(__import__("pyspark").sql.functions.col("t")).alias("t")
-    )
+    text = spark.sql("SELECT '2024-01-01T05:00:00+05:00' AS t")
+    row = text.select(utc_timestamp(F.col("t")).alias("t"))
     assert row.selectExpr("unix_seconds(t) AS s").first().s == 1704067200

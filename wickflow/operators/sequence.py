@@ -48,11 +48,13 @@ Frames = Callable[[DataFrame, str], DataFrame]
 @dataclass(frozen=True)
 class Limits:
     """``symbol_rows``: most rows of one symbol that a single task may hold.
-    ``partition_rows``, ``chunk_rows``: sizes used when splitting."""
+    ``partition_rows``, ``chunk_rows``: sizes used when splitting; range partitions
+    grow beyond theirs when there would be more than ``most_partitions``."""
 
     symbol_rows: int = 1_000_000
     partition_rows: int = 4_000_000
     chunk_rows: int = 131_072
+    most_partitions: int = 20_000
 
 
 class Sizes(NamedTuple):
@@ -111,7 +113,7 @@ def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes) -
     # Each level has to leave fewer rows of a symbol for the next.
     if min(limits.symbol_rows, limits.partition_rows, limits.chunk_rows) < 8 * frame_rows:
         raise ValueError(f"limits are too small for frames of {frame_rows} rows")
-    partitions = -(-sizes.total // limits.partition_rows)
+    partitions = min(-(-sizes.total // limits.partition_rows), limits.most_partitions)
     names = ChunkColumns.at(level)
     by_chunk = f"PARTITION BY symbol, {names.chunk}"
     window = f"{by_chunk} ORDER BY {names.row}"

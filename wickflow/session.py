@@ -27,22 +27,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors reach, named by ``spark.checkpoint.dir``.
+    """Folder that all executors reach.
 
-    Only a local session may go without that setting; it then gets a temporary
+    It is the one ``spark.checkpoint.dir`` names, else the context's checkpoint
+    folder. Only a local session may go without both; it then gets a temporary
     folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wickflow-"))
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="wickflow-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, for a table written mid-job."""
+    """A fresh path under the shared folder, for a table written mid-job.
+
+    Later stages read it lazily, so it is left to the folder's clean-up.
+    """
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -47,7 +47,7 @@ def landed_files(
 
     Symbols and dates become one path glob, so other folders are not listed.
     ``nanoseconds`` reads files whose timestamps were written in nanoseconds,
-    which Spark only accepts as integers.
+    which Spark only accepts as integers; it sets the session to do so.
     """
     glob = "{}/{}/{{{}}}/{{{}}}/*.parquet".format(
         base.rstrip("/"), exchange, ",".join(symbols), ",".join(str(d) for d in dates)
