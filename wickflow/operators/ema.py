@@ -21,10 +21,12 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wickflow.operators.layers import Layers, double, lag
+
 RADIX = 4
 
 # Well below the relative precision of a double, 2 ** -53.
@@ -57,53 +59,44 @@ def column(span: int) -> str:
     return f"ema_{span}"
 
 
-def seeded_ema(
-    rows: DataFrame, spans: Iterable[int], window: str, most_rows: int, spread: float
-) -> DataFrame:
-    """EMAs that start with the first close of each window partition.
+def ema_layers(
+    spans: Iterable[int], most_rows: int, spread: float, seeded: bool
+) -> Layers:
+    """EMAs of ``close``: a layer of terms and one per round.
 
-    ``most_rows`` is the size of the largest partition; ``spread`` bounds the
-    ratio of two closes, and is infinite when a close is not positive.
+    Seeded ones start with the first close of each window partition; the others
+    are the part of each EMA that comes from the partition itself. ``most_rows``
+    is the size of the largest partition; ``spread`` bounds the ratio of two
+    closes, and is infinite when a close is not positive.
     """
-    seed = f"CASE WHEN row_number() OVER ({window}) = 1 THEN close ELSE {{}} * close END"
-    return _scan(rows, seed, tuple(spans), window, most_rows, spread)
-
-
-def unseeded_ema(
-    rows: DataFrame, spans: Iterable[int], window: str, most_rows: int, spread: float
-) -> DataFrame:
-    """The part of each EMA that comes from the window partition itself."""
-    return _scan(rows, "{} * close", tuple(spans), window, most_rows, spread)
-
-
-def _scan(rows, term, spans, window, most_rows, spread) -> DataFrame:
-    if spans:
-        rows = rows.withColumns({column(s): F.expr(term.format(_double(alpha(s)))) for s in spans})
+    spans = tuple(spans)
+    layers = [{column(s): _term(s, seeded) for s in spans}] if spans else []
     negligible = LAST_BIT / spread
     reach = 1
     while reach < most_rows:
         open_spans = [s for s in spans if decay(s) ** reach > negligible]
         if not open_spans:
             break
-        rows = rows.withColumns({column(s): _round(s, reach, window) for s in open_spans})
+        layers.append({column(s): _round(s, reach) for s in open_spans})
         reach *= RADIX
-    return rows
+    return layers
+
 
+def _term(span: int, seeded: bool) -> str:
+    term = f"{double(alpha(span))} * close"
+    if not seeded:
+        return term
+    return f"CASE WHEN row_number() OVER ({{w}}) = 1 THEN close ELSE {term} END"
 
-def _round(span: int, reach: int, window: str) -> Column:
-    name = column(span)
+
+def _round(span: int, reach: int) -> str:
     weights = {back: decay(span) ** back for back in range(reach, RADIX * reach, reach)}
     earlier = [
-        f"{_double(weight)} * lag({name}, {back}, 0D) OVER ({window})"
+        f"{double(weight)} * {lag(column(span), back, '0D')}"
         for back, weight in weights.items()
         if weight > 0.0
     ]
-    return F.expr(" + ".join([name, *earlier]))
-
-
-def _double(value: float) -> str:
-    """A double as a SQL literal."""
-    return f"{value!r}D"
+    return " + ".join([column(span), *earlier])
 
 
 def chunk_carries(
@@ -174,7 +167,7 @@ def chunk_carries(
 def add_carries(
     rows: DataFrame, carries: DataFrame, names: ChunkColumns, spans: Iterable[int]
 ) -> DataFrame:
-    """Completes ``unseeded_ema`` with what the chunks before contribute."""
+    """Completes unseeded EMAs with what the chunks before contribute."""
     spans = tuple(spans)
     if not spans:
         return rows
@@ -200,9 +193,9 @@ def carried_over(spans: Iterable[int]) -> dict[str, str]:
     """
     of_symbol = "OVER (PARTITION BY symbol)"
     return {
-        f"carry_{s}": f"coalesce(sum(CASE WHEN NOT _today THEN {_double(alpha(s))} * close"
-        f" * power({_double(decay(s))}, _size - _place) END) {of_symbol}, 0D)"
-        f" + power({_double(decay(s))}, count_if(NOT _today) {of_symbol}) * _seed"
+        f"carry_{s}": f"coalesce(sum(CASE WHEN NOT _today THEN {double(alpha(s))} * close"
+        f" * power({double(decay(s))}, _size - _place) END) {of_symbol}, 0D)"
+        f" + power({double(decay(s))}, count_if(NOT _today) {of_symbol}) * _seed"
         for s in spans
     }
 

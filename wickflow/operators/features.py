@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from itertools import zip_longest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date
-from wickflow.operators.ema import apply_carries, carried_over, grouped_ema, unseeded_ema
-from wickflow.operators.sequence import ORDER, Frames, Limits, measure, over_symbol_rows
+from wickflow.operators.ema import apply_carries, carried_over, ema_layers, grouped_ema
+from wickflow.operators.layers import Layers, add_layers, lag, trailing
+from wickflow.operators.sequence import ORDER, Limits, measure, over_symbol_rows
 from wickflow.schemas import FEATURE_SPANS, FEATURES, RSI_ROWS
 from wickflow.sources.raw import slice_lookback
 
@@ -26,20 +26,6 @@ INPUTS = ["symbol", "candle_close_time", "close"]
 FRAME_ROWS = max(FEATURE_SPANS) + 1
 
 
-# Columns by dependency: a layer reads the input and the layers before it. All
-# window expressions of a layer share one pass over the sorted rows. ``{w}``
-# stands for the window; names that start with an underscore are intermediate.
-Layers = list[dict[str, str]]
-
-
-def _trailing(aggregate: str, rows: int) -> str:
-    return f"{aggregate} OVER ({{w}} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING)"
-
-
-def _lag(name: str, back: int, empty: str = "NULL") -> str:
-    return f"lag({name}, {back}, {empty}) OVER ({{w}})"
-
-
 def _steps(spans: Iterable[int]) -> list[tuple[int, int, list[int]]]:
     """``(span, shorter, backs)``: a frame of ``span`` rows is a frame of
     ``shorter`` rows and those that lie ``backs`` rows earlier."""
@@ -55,7 +41,7 @@ def _steps(spans: Iterable[int]) -> list[tuple[int, int, list[int]]]:
 def return_layers() -> Layers:
     """Log return over one row, simple return over five. NULL on a zero divisor."""
     return [
-        {"_previous": _lag("close", 1), "_fifth": _lag("close", 5)},
+        {"_previous": lag("close", 1), "_fifth": lag("close", 5)},
         {
             "log_return_1": "ln(try_divide(close, _previous))",
             "return_5": "try_divide(close - _fifth, _fifth)",
@@ -73,15 +59,15 @@ def mean_layers(spans: Iterable[int] = FEATURE_SPANS) -> Layers:
     base = spans[0]
     layers = [
         {
-            f"_sum_{base}": f"coalesce({_trailing('sum(close)', base)}, 0D)",
-            f"_count_{base}": _trailing("count(close)", base),
+            f"_sum_{base}": f"coalesce({trailing('sum(close)', base)}, 0D)",
+            f"_count_{base}": trailing("count(close)", base),
         }
     ]
     for span, shorter, backs in _steps(spans):
         layers.append(
             {
                 f"_{part}_{span}": " + ".join(
-                    [f"_{part}_{shorter}", *(_lag(f"_{part}_{shorter}", b, zero) for b in backs)]
+                    [f"_{part}_{shorter}", *(lag(f"_{part}_{shorter}", b, zero) for b in backs)]
                 )
                 for part, zero in (("sum", "0D"), ("count", "0L"))
             }
@@ -98,18 +84,18 @@ def volatility_layers(spans: Iterable[int] = FEATURE_SPANS) -> Layers:
     spans = list(spans)
     base = spans[0]
     layers: Layers = [
-        {"_previous": _lag("close", 1)},
+        {"_previous": lag("close", 1)},
         {"log_return_1": "ln(try_divide(close, _previous))"},
         {
-            f"_n_{base}": _trailing("count(log_return_1)", base),
-            f"_mean_{base}": f"coalesce({_trailing('avg(log_return_1)', base)}, 0D)",
-            f"_var_{base}": f"coalesce({_trailing('var_pop(log_return_1)', base)}, 0D)",
+            f"_n_{base}": trailing("count(log_return_1)", base),
+            f"_mean_{base}": f"coalesce({trailing('avg(log_return_1)', base)}, 0D)",
+            f"_var_{base}": f"coalesce({trailing('var_pop(log_return_1)', base)}, 0D)",
         },
         {f"_dev_{base}": f"_n_{base} * _var_{base}"},
     ]
     for span, shorter, backs in _steps(spans):
         lagged = {
-            f"_{part}_{shorter}_{b}": _lag(f"_{part}_{shorter}", b, zero)
+            f"_{part}_{shorter}_{b}": lag(f"_{part}_{shorter}", b, zero)
             for b in backs
             for part, zero in (("n", "0L"), ("mean", "0D"), ("dev", "0D"))
         }
@@ -139,14 +125,14 @@ def rsi_layers(rows: int = RSI_ROWS) -> Layers:
     a loss of 0.
     """
     return [
-        {"_previous": _lag("close", 1)},
+        {"_previous": lag("close", 1)},
         {
             "_gain": "greatest(close - _previous, 0D)",
             "_loss": "greatest(_previous - close, 0D)",
         },
         {
-            "_mean_gain": _trailing("avg(_gain)", rows),
-            "_mean_loss": _trailing("avg(_loss)", rows),
+            "_mean_gain": trailing("avg(_gain)", rows),
+            "_mean_loss": trailing("avg(_loss)", rows),
         },
         {
             f"rsi_{rows}": "CASE WHEN _mean_loss = 0 THEN 100D "
@@ -155,20 +141,6 @@ def rsi_layers(rows: int = RSI_ROWS) -> Layers:
     ]
 
 
-def frames_of(*features: Layers) -> Frames:
-    """The features' layers, side by side, as one function of rows and window."""
-
-    def frames(rows: DataFrame, window: str) -> DataFrame:
-        names = rows.columns
-        for layer in zip_longest(*features, fillvalue={}):
-            columns = {name: sql for part in layer for name, sql in part.items()}
-            rows = rows.withColumns({n: F.expr(sql.format(w=window)) for n, sql in columns.items()})
-            names += [name for name in columns if not name.startswith("_")]
-        return rows.select(*names)
-
-    return frames
-
-
 def add_calendar(rows: DataFrame) -> DataFrame:
     """Hour 0-23 and day of week, 1 being Sunday, of the close time."""
     return rows.withColumns(
@@ -180,23 +152,19 @@ def add_calendar(rows: DataFrame) -> DataFrame:
 
 
 def returns(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    frames = frames_of(return_layers())
-    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
+    return over_symbol_rows(candles.select(*INPUTS), [return_layers()], FRAME_ROWS, limits=limits)
 
 
 def moving_averages(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    frames = frames_of(mean_layers())
-    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
+    return over_symbol_rows(candles.select(*INPUTS), [mean_layers()], FRAME_ROWS, limits=limits)
 
 
 def volatility(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    frames = frames_of(volatility_layers())
-    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
+    return over_symbol_rows(candles.select(*INPUTS), [volatility_layers()], FRAME_ROWS, limits=limits)
 
 
 def rsi(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    frames = frames_of(rsi_layers())
-    return over_symbol_rows(candles.select(*INPUTS), frames, FRAME_ROWS, limits=limits)
+    return over_symbol_rows(candles.select(*INPUTS), [rsi_layers()], FRAME_ROWS, limits=limits)
 
 
 def ema(
@@ -215,14 +183,14 @@ def ema_grouped(
     return grouped_ema(rows, spans, ORDER)
 
 
-def feature_frames() -> Frames:
-    return frames_of(return_layers(), mean_layers(), volatility_layers(), rsi_layers())
+def feature_layers() -> list[Layers]:
+    return [return_layers(), mean_layers(), volatility_layers(), rsi_layers()]
 
 
 def features(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All 20 feature columns for every candle, the first one seeding the EMAs."""
     rows = over_symbol_rows(
-        candles.select(*INPUTS), feature_frames(), FRAME_ROWS, FEATURE_SPANS, limits=limits
+        candles.select(*INPUTS), feature_layers(), FRAME_ROWS, FEATURE_SPANS, limits
     )
     return _feature_table(rows)
 
@@ -272,6 +240,7 @@ def feature_snapshot(
     )
     rows = rows.withColumns({n: F.expr(sql) for n, sql in carried_over(FEATURE_SPANS).items()})
     rows = rows.filter(f"_today OR _place > _size - {FRAME_ROWS}")
-    rows = unseeded_ema(rows, FEATURE_SPANS, in_part, sizes.largest, sizes.spread)
-    rows = feature_frames()(rows, in_symbol).filter("_today")
+    emas = ema_layers(FEATURE_SPANS, sizes.largest, sizes.spread, seeded=False)
+    rows = add_layers(rows, in_part, emas)
+    rows = add_layers(rows, in_symbol, *feature_layers()).filter("_today")
     return _feature_table(apply_carries(rows, FEATURE_SPANS, "_place"))

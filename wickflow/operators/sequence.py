@@ -21,29 +21,21 @@ first; beyond ``Limits.symbol_rows`` the sequence is split:
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickflow.operators.ema import (
-    ChunkColumns,
-    add_carries,
-    chunk_carries,
-    seeded_ema,
-    unseeded_ema,
-)
+from wickflow.operators.ema import ChunkColumns, add_carries, chunk_carries, ema_layers
+from wickflow.operators.layers import Layers, add_layers
 from wickflow.session import scratch_path
 
 # Ties on the close time are ordered by the close itself, the only other column
 # the features read, so their values never depend on the order rows arrive in.
 ORDER = ("candle_close_time", "close")
 
-# Adds columns given the rows and a window specification in SQL.
-Frames = Callable[[DataFrame, str], DataFrame]
-
 
 @dataclass(frozen=True)
 class Limits:
@@ -87,29 +79,29 @@ def measure(candles: DataFrame, closes: bool = False) -> Sizes:
 
 def over_symbol_rows(
     candles: DataFrame,
-    frames: Frames | None = None,
+    features: Iterable[Layers] = (),
     frame_rows: int = 0,
     spans: Iterable[int] = (),
     limits: Limits = Limits(),
 ) -> DataFrame:
     """Adds row-frame features and EMAs of ``close`` to the candles.
 
-    ``frames(rows, window)`` adds columns that depend on the current row and on
-    at most ``frame_rows`` rows before it.
+    The features depend on the current row and on at most ``frame_rows`` rows
+    before it.
     """
-    return _by_symbol(candles, frames, frame_rows, tuple(spans), limits, ORDER, level=0)
+    return _by_symbol(candles, list(features), frame_rows, tuple(spans), limits, ORDER, level=0)
 
 
-def _by_symbol(candles, frames, frame_rows, spans, limits, order, level) -> DataFrame:
+def _by_symbol(candles, features, frame_rows, spans, limits, order, level) -> DataFrame:
     sizes = measure(candles, closes=bool(spans))
     if sizes.largest > limits.symbol_rows:
-        return _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes)
+        return _by_chunk(candles, features, frame_rows, spans, limits, order, level, sizes)
     window = f"PARTITION BY symbol ORDER BY {', '.join(order)}"
-    rows = seeded_ema(candles, spans, window, sizes.largest, sizes.spread)
-    return rows if frames is None else frames(rows, window)
+    emas = ema_layers(spans, sizes.largest, sizes.spread, seeded=True)
+    return add_layers(candles, window, emas, *features)
 
 
-def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes) -> DataFrame:
+def _by_chunk(candles, features, frame_rows, spans, limits, order, level, sizes) -> DataFrame:
     # Each level has to leave fewer rows of a symbol for the next.
     if min(limits.symbol_rows, limits.partition_rows, limits.chunk_rows) < 8 * frame_rows:
         raise ValueError(f"limits are too small for frames of {frame_rows} rows")
@@ -128,21 +120,20 @@ def _by_chunk(candles, frames, frame_rows, spans, limits, order, level, sizes) -
         chunks, names, spans, sizes.total // limits.chunk_rows + 2 * partitions
     )
 
-    def with_emas(rows: DataFrame) -> DataFrame:
-        return unseeded_ema(rows, spans, window, limits.chunk_rows, sizes.spread)
+    emas = ema_layers(spans, limits.chunk_rows, sizes.spread, seeded=False)
 
     def carried(rows: DataFrame) -> DataFrame:
         return add_carries(rows, carries, names, spans).drop(*names)
 
-    if frames is None:
-        return carried(with_emas(chunks))
+    inner = add_layers(chunks, window, emas, *features)
+    if not features:
+        return carried(inner)
 
     place, size = F.col(names.place), F.col(names.size)
-    inner = frames(with_emas(chunks), window).filter(place > frame_rows)
     edges = chunks.filter((place <= frame_rows) | (place > size - frame_rows))
-    heads = _by_symbol(edges, frames, frame_rows, (), limits, [names.row], level + 1)
-    heads = with_emas(heads.filter(place <= frame_rows))
-    return carried(inner).unionByName(carried(heads))
+    heads = _by_symbol(edges, features, frame_rows, (), limits, [names.row], level + 1)
+    heads = add_layers(heads.filter(place <= frame_rows), window, emas)
+    return carried(inner.filter(place > frame_rows)).unionByName(carried(heads))
 
 
 def _numbered_chunks(candles, order, names, partitions, chunk_rows) -> DataFrame:
