@@ -30,6 +30,15 @@ from wickflow.sources import raw as rawsrc
 from wickflow.sources.events import candles_from_events
 from wickflow.streaming.ingest import ingest, message_stream
 
+# The training-data operators are optional: without their folder the rest works.
+try:
+    import corpus_pipeline
+    from wickflow.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not missing.name.startswith("wickflow.llm"):
+        raise
+    llm = None
+
 SMALLEST = "/root/testdata/sf0.001"
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 EXCHANGE = "test"
@@ -440,7 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT features.* FROM features, chosen WHERE CAST(ts AS DATE) = chosen.date", "lookback"
     )
     milliseconds = "date_trunc('millisecond', event_time) AS "
-    return {
+    found = {
         "raw_candles_1m": _sql("SELECT * FROM candles"),
         "parse_kline": _sql(
             RAW_SELECT.format(
@@ -528,6 +537,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "refresh": snapshot,
     }
+    if llm is not None:
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def queries() -> dict[str, Query]:
@@ -563,7 +577,10 @@ def queries() -> dict[str, Query]:
         gold_roundtrip,
         refresh,
     ]
-    return {query.__name__: query for query in listed}
+    found = {query.__name__: query for query in listed}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
