@@ -17,6 +17,10 @@ BLOCK_BYTES = 4 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+# ASCII other than letters and digits.
+NOT_ALNUM = np.zeros(256, bool)
+NOT_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 

@@ -1,6 +1,6 @@
 """Operator 2: toxicity by FTRL-proximal logistic regression on hashed n-grams.
 
-Features of a text are its distinct lower-cased words, pairs of neighbours and pairs
+Features of a text are its distinct lower-cased words (runs of letters, digits and non-ASCII), pairs of neighbours and pairs
 with one word between, each hashed to 32 bits. A label and its text are learned from by
 FTRL-proximal steps: each coordinate has its own rate, and the L1 term leaves all but a
 few thousand weights at exactly zero, so the weights are small enough to broadcast.
@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickflow.llm.texts import LOWER, SPACE, Texts, blocks, mixed, span_hashes, words
+from wickflow.llm.texts import LOWER, NOT_ALNUM, Texts, blocks, mixed, span_hashes, words
 
 MAX_TRAINING = 16_384
 SLICE = 4_096
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1.0, 0.01
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 5.0, 0.01
 THRESHOLD = 0.7
 BIAS = -1
 SIEVE_BITS = 18
@@ -38,7 +38,7 @@ SIEVE_BITS = 18
 
 def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Text number and feature of every word, pair and skip pair, repeats included."""
-    starts, ends, first = words(texts, SPACE)
+    starts, ends, first = words(texts, NOT_ALNUM)
     hashes = span_hashes(LOWER[texts.data], starts, ends)
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     owners, found = [owner], [hashes]
