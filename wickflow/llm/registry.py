@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickflow.llm import quality, toxicity, urlrules
+from wickflow.llm import decontaminate, quality, simhash, toxicity, urlrules
 
-MODULES = [toxicity, quality, urlrules]
+MODULES = [toxicity, quality, urlrules, decontaminate, simhash]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
