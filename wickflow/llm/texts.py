@@ -115,3 +115,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     terms = BYTE_VALUES[data[source]]
     terms *= powers(int(lengths.max()))[within]
     return mixed(np.add.reduceat(terms, heads) + lengths.astype(np.uint64))
+
+
+def ragged_take(values: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``values[bounds[i]:bounds[i + 1]]`` for each i of ``index``, end to end, and
+    where each begins (one more entry than ``index``)."""
+    lengths = np.diff(bounds)[index]
+    out = np.zeros(len(index) + 1, np.int64)
+    np.cumsum(lengths, out=out[1:])
+    source = np.arange(out[-1], dtype=np.int64)
+    source += np.repeat(bounds[:-1][index] - out[:-1], lengths)
+    return values[source], out
