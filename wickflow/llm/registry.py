@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickflow.llm import decontaminate, pieces, quality, simhash, toxicity, urlrules
+from wickflow.llm import decontaminate, pieces, quality, simhash, tokenfile, toxicity, urlrules
 
-MODULES = [toxicity, quality, urlrules, decontaminate, pieces, simhash]
+MODULES = [toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
