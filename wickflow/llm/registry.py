@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickflow.llm import decontaminate, pieces, quality, simhash, tokenfile, toxicity, urlrules, warc
+from wickflow.llm import decontaminate, pieces, ppm, quality, simhash, tokenfile, toxicity, urlrules, warc
 
-MODULES = [toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc]
+MODULES = [ppm, toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

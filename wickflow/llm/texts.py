@@ -107,14 +107,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.empty(0, np.uint64)
     lengths = ends - starts
-    heads = np.cumsum(lengths) - lengths
-    total = int(lengths.sum())
-    place = np.arange(total, dtype=np.int64)
-    within = place - np.repeat(heads, lengths)
-    source = within + np.repeat(starts, lengths)
-    terms = BYTE_VALUES[data[source]]
-    terms *= powers(int(lengths.max()))[within]
-    return mixed(np.add.reduceat(terms, heads) + lengths.astype(np.uint64))
+    scale = powers(int(lengths.max()))
+    out = np.empty(len(starts), np.uint64)
+    for first in range(0, len(starts), 1 << 15):  # arrays that stay in the cache
+        own = lengths[first : first + (1 << 15)]
+        heads = np.cumsum(own) - own
+        within = np.arange(int(own.sum()), dtype=np.int64)
+        source = within + np.repeat(starts[first : first + (1 << 15)] - heads, own)
+        within -= np.repeat(heads, own)
+        terms = BYTE_VALUES[data[source]]
+        terms *= scale[within]
+        out[first : first + (1 << 15)] = np.add.reduceat(terms, heads)
+    return mixed(out + lengths.astype(np.uint64))
 
 
 def ragged_take(values: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
