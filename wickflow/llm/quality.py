@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickflow.llm.columns import once
+
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 WINDOW = 5
@@ -147,7 +149,8 @@ def judge(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> Dat
 
 def filter_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that the rules keep, with the columns they came with."""
-    return judge(docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))).filter("kept").select("row.*")
+    judged = judge(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")))
+    return once(judged.select("row", "kept"), "stays", F.col("kept")).filter("stays").select("row.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
