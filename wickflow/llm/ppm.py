@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from wickflow.llm.texts import LOWER, SPACE, blocks, ragged_take, span_hashes, words
 from wickflow.session import scratch_path
 
-ORDER = 6
+ORDER = 4
 BLOCK_BYTES = 12 << 20
-BLOCK_WORDS = 100_000
+BLOCK_WORDS = 400_000
 SYMBOLS = 256
 END_GRAM = 1 << 56 | 0x20 << 8 | 0x20
 
@@ -123,10 +123,9 @@ def grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of words with their distinct grams, and the training count of each gram."""
-    task, number = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        for first in range(0, batch.num_rows, BLOCK_WORDS):
-            part = batch.slice(first, BLOCK_WORDS)
+    task = TaskContext.get().partitionId()
+    for number, part in enumerate(_joined(batches)):
+        if part.num_rows:
             own = part.column("word").cast(pa.large_string())
             ends = np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
             data = np.frombuffer(own.buffers()[2], np.uint8)[ends[0] : ends[-1]]
@@ -146,7 +145,19 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 ["block", "keys", "ns", "words", "cs", "sizes", "index"],
             )
-            number += 1
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to ``BLOCK_WORDS`` rows."""
+    held, have = [], 0
+    for batch in batches:
+        held.append(batch)
+        have += batch.num_rows
+        if have >= BLOCK_WORDS:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, have = [], 0
+    if have:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def shorter(code: Column) -> Column:
