@@ -171,7 +171,9 @@ def add_carries(
     spans = tuple(spans)
     if not spans:
         return rows
-    return apply_carries(rows.join(carries, ["symbol", names.chunk]), spans, names.place)
+    keyed = carries.withColumnRenamed("symbol", "_of").withColumnRenamed(names.chunk, "_chunk")
+    same = F.col("symbol").eqNullSafe(F.col("_of")) & (F.col(names.chunk) == F.col("_chunk"))
+    return apply_carries(rows.join(keyed, same).drop("_of", "_chunk"), spans, names.place)
 
 
 def apply_carries(rows: DataFrame, spans: Iterable[int], place: str) -> DataFrame:

@@ -68,6 +68,7 @@ def land_files(
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", str(not named_folders).lower())
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
         .option("ignoreCorruptFiles", str(skip_corrupt).lower())
         .option("cleanSource", "archive")
         .option("sourceArchiveDir", archive)

@@ -27,7 +27,9 @@ def message_stream(spark: SparkSession, path: str, max_files: int = 1_000) -> Da
 
     ``max_files`` bounds a micro-batch.
     """
-    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    # the default leaves out files a week older than the newest
+    source = spark.readStream.option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
+    return source.text(path)
 
 
 def ingest(
