@@ -24,8 +24,9 @@ def stream_names(symbols: Iterable[str], interval: str) -> list[str]:
     return [f"{symbol.lower()}@kline_{interval}" for symbol in symbols]
 
 
-def _epoch_ms(value: Column) -> Column:
-    return F.timestamp_millis(value.cast("bigint"))
+# Milliseconds of the years 1 to 9999; other numbers are no times.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+REQUIRED = ["event_time", "candle_start_time", "candle_close_time", "open", "high", "low", "close"]
 
 
 def parse_klines(
@@ -38,17 +39,18 @@ def parse_klines(
 ) -> DataFrame:
     """Rows of ``messages.value`` as raw candles.
 
-    Messages without a kline body (acknowledgements, text that is not JSON),
-    candles that are still open and other subscriptions are left out. A price
-    that is not a number fails the query, or drops the message when
-    ``bad_prices="drop"``.
+    ``value`` is text or, as message brokers deliver it, UTF-8 bytes. Messages
+    without a kline body (acknowledgements, text that is not JSON), candles that
+    are still open and other subscriptions are left out. A price or time that is
+    missing or malformed fails the query, or drops the message when
+    ``bad_prices="drop"``. Symbols come out in upper case.
     """
     if bad_prices not in ("raise", "drop"):
         raise ValueError("bad_prices is 'raise' or 'drop'")
 
     # `inline` keeps the decoded message in a row of its own: as plain columns
     # the optimizer would repeat the decoding in every filter below.
-    message = F.from_json("value", MESSAGE_TYPE)
+    message = F.from_json(F.col("value").cast("string"), MESSAGE_TYPE)
     body = messages.select(F.inline(F.array(message["data"])))
     wanted = [symbol.upper() for symbol in symbols]
     kept = body.filter(
@@ -58,17 +60,29 @@ def parse_klines(
         & (F.col("k")["i"] == interval)
     )
 
-    def number(key: str) -> Column:
+    def required(value: Column, key: str) -> Column:
+        if bad_prices == "drop":
+            return value
+        return F.coalesce(value, F.raise_error(F.lit(f"a message without a valid {key}")))
+
+    def cast(key: str, kind: str) -> Column:
         text = F.col("k")[key]
-        return text.cast("double") if bad_prices == "raise" else text.try_cast("double")
+        return text.cast(kind) if bad_prices == "raise" else text.try_cast(kind)
+
+    def number(key: str) -> Column:
+        return required(cast(key, "double"), key)
+
+    def instant(millis: Column, key: str) -> Column:
+        in_range = F.when(millis.between(FIRST_MS, LAST_MS), millis)
+        return F.timestamp_millis(required(in_range, key))
 
     candles = kept.select(
         F.lit(exchange).alias("exchange"),
-        F.col("k")["s"].alias("symbol"),
+        F.upper(F.col("k")["s"]).alias("symbol"),
         F.col("k")["i"].alias("interval"),
-        _epoch_ms(F.col("E")).alias("event_time"),
-        _epoch_ms(F.col("k")["t"]).alias("candle_start_time"),
-        _epoch_ms(F.col("k")["T"]).alias("candle_close_time"),
+        instant(F.col("E"), "E").alias("event_time"),
+        instant(cast("t", "bigint"), "t").alias("candle_start_time"),
+        instant(cast("T", "bigint"), "T").alias("candle_close_time"),
         number("o").alias("open"),
         number("h").alias("high"),
         number("l").alias("low"),
@@ -79,7 +93,7 @@ def parse_klines(
         ),
     )
     if bad_prices == "drop":
-        candles = candles.dropna(subset=["open", "high", "low", "close"])
+        candles = candles.dropna(subset=REQUIRED)
     return candles.select(*RAW_COLUMNS)
 
 

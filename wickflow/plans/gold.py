@@ -16,7 +16,7 @@ from wickflow.operators.ohlc import ohlc
 from wickflow.operators.partitions import next_gold_date, raw_partitions
 from wickflow.operators.sequence import Limits
 from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
-from wickflow.session import configure
+from wickflow.session import configure, scratch_path
 from wickflow.sources.raw import (
     month_of,
     raw_slice,
@@ -88,19 +88,37 @@ def replace_slices(table: DataFrame, path: str, slices: list[str]) -> int:
 
 
 def publish(
-    tables: dict[str, DataFrame], gold_path: str, date: dt.date | str, exchange: str = EXCHANGE
+    tables: dict[str, DataFrame],
+    gold_path: str,
+    date: dt.date | str,
+    exchange: str = EXCHANGE,
+    symbols: Iterable[str] = (),
 ) -> dict[str, int]:
-    """Writes the tables under ``gold_path``; fails on one without rows."""
+    """Writes the tables under ``gold_path``; fails on one without rows.
+
+    All are staged in the shared folder first. Slices are replaced only when every
+    table has rows for each of ``symbols``, so a run that fails on an empty output
+    leaves the tables as they were.
+    """
     slice_value = {"slice_date": F.lit(parse_date(date)), "slice_month": F.lit(month_of(date))}
-    counts = {}
+    staged = {}
     for name, table in tables.items():
+        spark = table.sparkSession
+        path = scratch_path(spark, f"staged-{name}")
+        table.write.parquet(path)
+        staged[name] = spark.read.schema(table.schema).parquet(path)
+    for name, table in staged.items():
+        found = {r.symbol for r in table.select("symbol").distinct().collect()}
+        missing = set(symbols) - found
+        if missing or not found:
+            raise EmptyOutput(f"{name} has no rows for {date} {sorted(missing)}")
+    counts = {}
+    for name, table in staged.items():
         column = TABLES[name][1].name
         rows = table.withColumns({"exchange": F.lit(exchange), column: slice_value[column]})
         counts[name] = replace_slices(
             rows, f"{gold_path}/{name}", ["exchange", "symbol", column]
         )
-        if not counts[name]:
-            raise EmptyOutput(f"{name} has no rows for {date}")
     return counts
 
 
@@ -116,9 +134,10 @@ def gold_run(
 ) -> dict[str, int]:
     """Computes and publishes all gold tables for one date; rows per table."""
     configure(spark)
+    symbols = list(symbols)
     raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
     tables = gold_tables(raw, date, symbols, lookback_days, limits)
-    return publish(tables, gold_path, date, exchange)
+    return publish(tables, gold_path, date, exchange, symbols)
 
 
 def refresh(

@@ -12,10 +12,14 @@ def candles_from_events(events: DataFrame, exchange: str = "test") -> DataFrame:
     """Each event type is a symbol; its values in one minute make a candle.
 
     Minutes without events have no candle. The aggregate combines on the map
-    side, so a frequent event type costs no more to shuffle than a rare one.
+    side, so a frequent event type costs no more to shuffle than a rare one. Time
+    and id are packed into one number: ordered by a struct, the aggregate would sort.
     """
     start = F.date_trunc("minute", F.col("ts").cast("timestamp"))
-    order = F.struct("ts", "event_id")
+    order = F.expr(
+        "CAST(unix_micros(CAST(ts AS TIMESTAMP)) AS DECIMAL(18,0)) * 10000000000000000000BD"
+        " + coalesce(event_id, -9223372036854775807)"
+    )
     bars = events.groupBy(F.col("event_type").alias("symbol"), start.alias("candle_start_time")).agg(
         F.max("ts").cast("timestamp").alias("event_time"),
         F.min_by("value", order).alias("open"),
