@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from wickflow.llm.texts import Texts, blocks, ragged_take, span_hashes
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 LONG = 48
 MARK = "▁"
 NONE = np.int64(1) << 62
@@ -300,8 +300,11 @@ def vocabulary_of(model: bytes) -> Vocabulary:
     return _loaded[key]
 
 
-def encode_documents(docs: DataFrame, model_file: str, text: str = "text", check: bool = True) -> DataFrame:
-    """Every row as the struct ``row``, with its ``ids`` and the ``decoded`` text."""
+def encode_documents(
+    docs: DataFrame, model_file: str, text: str = "text", check: bool = True, keep: Iterable[str] = ("*",)
+) -> DataFrame:
+    """Every row as the struct ``row`` of the columns to ``keep``, with its ``ids`` and the
+    ``decoded`` text."""
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,14 +317,13 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", check
             )
             yield pa.RecordBatch.from_arrays([part.column("row"), listed, decoded], ["row", "ids", "decoded"])
 
-    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    slim = packed.selectExpr("row", "text")
+    packed = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
-    return slim.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
+    return packed.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, model_file: str) -> DataFrame:
-    encoded = encode_documents(docs.select("doc_id", "text").selectExpr("doc_id", "text AS _body"), model_file, "_body")
+    encoded = encode_documents(docs, model_file, keep=["doc_id"])
     return encoded.select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
