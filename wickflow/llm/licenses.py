@@ -11,7 +11,8 @@ template's shingles in the window.
 
 Windows without any shingle of a template cannot reach the share and are dropped before
 they are hashed (an exact test against a set of hashes); most texts end there, in the
-scan. Only ids, positions and shingles of windows with such a shingle are shuffled.
+scan. Templates are broadcast up to ``MOST_BROADCAST`` shingles, so windows are banded and
+verified where their text was read, and only matches are shuffled.
 
 Edge cases: null or empty texts, and texts of fewer than five words, have no shingles and
 no result. A template of fewer than five words raises an error. Rows that repeat an id
@@ -28,6 +29,7 @@ from wickflow.llm.columns import once
 WORDS = 5
 SHARE = 80  # per cent
 BANDS = 32
+MOST_BROADCAST = 1 << 20  # template shingles times bands; beyond, the join shuffles windows
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -119,6 +121,8 @@ def scan(docs: DataFrame, templates: DataFrame, id_column: str = "doc_id", text:
     targets = wanted.select("*", F.explode(signature("own")).alias("b")).select(
         "license", "length", "own", "b.band", "b.low"
     )
+    if BANDS * sum(len(r.shingles) for r in known) <= MOST_BROADCAST:
+        targets = F.broadcast(targets)
     share = F.size(F.array_intersect("window", "own")) / F.size("own")
     return (
         banded.join(targets, ["length", "band", "low"])
