@@ -81,6 +81,19 @@ def test_missing_symbol_stops_the_run(spark, paths):
     assert not os.path.exists(out)
 
 
+def test_one_empty_table_leaves_all_as_they_were(spark, frame, paths):
+    raw, out = paths
+    gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
+    before = content(spark, out)
+    append_raw(frame([candle("BTCUSDT", "2024-01-31T23:00:00", 999)]), raw)
+    tables = gold.gold_tables(gold.raw_table(spark, raw), "2024-01-31", PAIR)
+    for gone in ("true", "symbol = 'ETHUSDT'"):
+        lacking = tables | {"features": tables["features"].filter(f"NOT ({gone})")}
+        with pytest.raises(gold.EmptyOutput, match="features"):
+            gold.publish(lacking, out, "2024-01-31", symbols=PAIR)
+        assert content(spark, out) == before
+
+
 def test_empty_output_replaces_nothing(spark, paths):
     raw, out = paths
     gold.gold_run(spark, raw, out, "2024-01-31", PAIR)

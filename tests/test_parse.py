@@ -68,8 +68,30 @@ def test_bad_price_fails_or_is_dropped(spark):
         parse_klines(rows, bad_prices="keep")
 
 
+@pytest.mark.parametrize("key", ["t", "T", "o", "h", "l", "c"])
+@pytest.mark.parametrize("value", [None, "abc"])
+def test_required_fields_follow_the_mode(spark, key, value):
+    rows = texts(spark, message(**{key: value}), message())
+    with pytest.raises(PySparkException):
+        parse_klines(rows).collect()
+    assert parse_klines(rows, bad_prices="drop").count() == 1
+
+
+def test_times_beyond_the_calendar_are_bad(spark):
+    rows = texts(spark, message(t=2**63 - 1), message(T=-(2**62)), message())
+    with pytest.raises(PySparkException, match="without a valid"):
+        parse_klines(rows).collect()
+    assert parse_klines(rows, bad_prices="drop").count() == 1
+
+
+def test_values_may_be_bytes(spark):
+    rows = texts(spark, message(), message(closed=False)).selectExpr("CAST(value AS BINARY) AS value")
+    assert parse_klines(rows).first().symbol == "BTCUSDT"
+
+
 def test_symbols_are_matched_in_upper_case(spark):
     assert parse_klines(texts(spark, message()), symbols=["btcusdt"]).count() == 1
+    assert parse_klines(texts(spark, message(s="btcUsdt"))).first().symbol == "BTCUSDT"
     assert stream_names(["BTCUSDT", "ethusdt"], "1m") == ["btcusdt@kline_1m", "ethusdt@kline_1m"]
 
 
