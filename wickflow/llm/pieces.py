@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from wickflow.llm.texts import Texts, blocks, ragged_take, span_hashes
 
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 1 << 20
 LONG = 48
 MARK = "▁"
 NONE = np.int64(1) << 62
@@ -82,11 +82,11 @@ class Vocabulary:
 
     def _table(self, pairs: dict[int, tuple[int, int]]) -> None:
         """An open hash table of the pairs, in arrays."""
-        bits = max(4, (8 * len(pairs)).bit_length())
+        bits = max(4, (4 * len(pairs)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.keys = np.full(1 << bits, -1, np.int64)
-        self.ranks = np.full(1 << bits, NONE >> 32, np.int64)
-        self.unions = np.zeros(1 << bits, np.int64)
+        self.ranks = np.full(1 << bits, NONE >> 32, np.int32)
+        self.unions = np.zeros(1 << bits, np.int32)
         keys = np.fromiter(pairs, np.int64, len(pairs))
         slots = self._slot(keys).tolist()
         self.probes = 1
