@@ -23,6 +23,7 @@ from wickflow.functions.kline import kline_message, parse_klines
 from wickflow.operators import features as ft
 from wickflow.operators import ohlc as bars
 from wickflow.operators import partitions as parts
+from wickflow.operators.sequence import Limits
 from wickflow.plans import gold, landing
 from wickflow.schemas import FEATURES, RAW_COLUMNS, RAW_TIMESTAMPS
 from wickflow.session import configure, scratch_path
@@ -43,6 +44,9 @@ SMALLEST = "/root/testdata/sf0.001"
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 EXCHANGE = "test"
 
+# Limits so low that the symbols of the given tables are split.
+SPLIT = Limits(symbol_rows=500, partition_rows=20_000, chunk_rows=500)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -211,7 +215,8 @@ def ema_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ema_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(ft.ema_grouped(candles(spark, sf_dir)), rounded=True)
+    """EMAs of groups of bounded size: parts of a symbol, each with a carry."""
+    return shown(ft.ema(candles(spark, sf_dir), limits=SPLIT), rounded=True)
 
 
 def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +228,11 @@ def feature_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ft.features(candles(spark, sf_dir)), rounded=True)
 
 
+def feature_history_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same beyond the limit on a symbol's rows in one task."""
+    return shown(ft.features(candles(spark, sf_dir), SPLIT), rounded=True)
+
+
 def feature_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features of the newest complete date, over its 60-day lookback."""
     raw = dated(spark, sf_dir)
@@ -282,11 +292,7 @@ def ingest_stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_archive_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions marked closed after three landing runs.
-
-    The first takes all days but the newest. The second takes that one, and so
-    archives the files of the first. The third finds nothing to do.
-    """
+    """Partitions marked closed after two deliveries, the newest day being the second."""
     incoming, raw, closed = (scratch_path(spark, n) for n in ("incoming", "raw", "closed"))
     checkpoint, archive = scratch_path(spark, "land-checkpoint"), scratch_path(spark, "archive")
     everything = dated(spark, sf_dir)
@@ -301,7 +307,6 @@ def land_archive_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     run()
     landing.append_raw(everything.filter(F.col("date") == F.lit(newest)), incoming)
     run()
-    run()
     return landing.closed_table(spark, closed)
 
 
@@ -312,7 +317,6 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for date in (last - dt.timedelta(days=1), last, last):
         table = rawsrc.raw_table(spark, raw)
         tables = gold.gold_tables(table, date, SYMBOLS)
-        del tables["features"]
         gold.publish(tables, out, date, EXCHANGE)
 
     def bar(name: str, start: str, average: str) -> DataFrame:
@@ -339,6 +343,20 @@ def refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(table, rounded=True)
 
 
+def collect_land_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through ingest, landing, closed marks and a refresh: the feature table."""
+    incoming, landed, raw, out = (scratch_path(spark, n) for n in ("messages", "in", "raw", "gold"))
+    messages(spark, sf_dir).write.text(incoming)
+    checkpoint = scratch_path(spark, "ingest-checkpoint")
+    stream = message_stream(spark, incoming)
+    ingest(stream, landed, checkpoint, SYMBOLS, exchange=EXCHANGE, drain=True).awaitTermination()
+    rest = (scratch_path(spark, n) for n in ("land-checkpoint", "archive", "closed"))
+    landing.land_archive_mark(spark, landed, raw, *rest, named_folders=True)
+    gold.refresh(spark, raw, out, SYMBOLS, EXCHANGE)
+    table = gold.gold_table(spark, out, "features").select(*FEATURES.fieldNames())
+    return shown(table, rounded=True)
+
+
 # --- SQL ---------------------------------------------------------------------
 
 CANDLES = """
@@ -495,6 +513,7 @@ def oracle_sql() -> dict[str, str]:
         "ema_grouped": ema,
         "calendar_features": _sql(_feature("hour_of_day", "day_of_week")),
         "feature_history": _sql("SELECT * FROM features"),
+        "feature_history_split": _sql("SELECT * FROM features"),
         "feature_snapshot": snapshot,
         "raw_inventory": _sql("SELECT DISTINCT exchange, symbol, date FROM raw"),
         "symbols_by_date": _sql(
@@ -536,6 +555,7 @@ def oracle_sql() -> dict[str, str]:
                 GROUP BY 1, 2, 3"""
         ),
         "refresh": snapshot,
+        "collect_land_refresh": snapshot,
     }
     if llm is not None:
         found |= llm.oracle_sql()
@@ -566,6 +586,7 @@ def queries() -> dict[str, Query]:
         ema_grouped,
         calendar_features,
         feature_history,
+        feature_history_split,
         feature_snapshot,
         raw_inventory,
         symbols_by_date,
@@ -576,6 +597,7 @@ def queries() -> dict[str, Query]:
         land_archive_mark,
         gold_roundtrip,
         refresh,
+        collect_land_refresh,
     ]
     found = {query.__name__: query for query in listed}
     if llm is not None:

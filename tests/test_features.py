@@ -85,18 +85,25 @@ def test_flat_prices(frame):
     assert (got.rsi_14[1:] == 100).all()
 
 
+def pandas_ema(rows, spans):
+    table = collected(rows.select("symbol", "candle_close_time", "close"), "candle_close_time")
+    close = table.groupby("symbol").close
+    return pd.DataFrame({
+        f"ema_{s}": close.transform(lambda c, s=s: c.ewm(span=s, adjust=False).mean()) for s in spans})
+
+
 @pytest.mark.parametrize("spans", [(1, 2, 3), (5, 15, 30, 60), (200, 1000)])
-def test_ema_equals_the_grouped_map(frame, spans):
+def test_ema_equals_pandas(frame, spans):
     rows = frame(series("A", walk(4, 700)) + series("B", walk(5, 40, 1e-6)) + series("C", [3]))
     native = collected(ft.ema(rows, spans), "candle_close_time")
-    grouped = collected(ft.ema_grouped(rows, spans), "candle_close_time")
+    grouped = pandas_ema(rows, spans)
     assert_close(native, grouped[[f"ema_{s}" for s in spans]])
 
 
 def test_ema_of_closes_that_are_not_positive(frame):
     rows = frame(series("A", [0.0, -3.5, 1e9] + walk(6, 300)))
     native = collected(ft.ema(rows), "candle_close_time")
-    grouped = collected(ft.ema_grouped(rows), "candle_close_time")
+    grouped = pandas_ema(rows, FEATURE_SPANS)
     assert_close(native, grouped[[f"ema_{s}" for s in FEATURE_SPANS]])
 
 
@@ -133,8 +140,14 @@ def test_split_emas_alone(frame):
     whole = collected(ft.ema(rows, (2, 60, 400)), "candle_close_time")
     split = collected(ft.ema(rows, (2, 60, 400), SPLIT), "candle_close_time")
     assert_close(split, whole[["ema_2", "ema_60", "ema_400"]])
-    grouped = collected(ft.ema_grouped(rows, (60,), SPLIT), "candle_close_time")
-    assert_close(grouped, whole[["ema_60"]])
+    assert_close(split[["ema_60"]], pandas_ema(rows, (60,))[["ema_60"]])
+
+
+def test_split_keeps_rows_without_a_symbol(frame):
+    rows = frame(series(None, walk(24, 1300)) + series("B", walk(25, 700)))
+    whole, split = collected(ft.features(rows)), collected(ft.features(rows, SPLIT))
+    assert len(split) == len(whole) == 2000
+    assert_close(split, whole.drop(columns=["symbol", "ts"]))
 
 
 def test_limits_too_small_to_shrink_the_problem(frame):

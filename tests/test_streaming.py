@@ -1,9 +1,11 @@
 import json
+import os
+import time
 
 import pytest
 
 from wickflow.plans import landing
-from wickflow.sources.raw import RAW_FILE_PATTERN, inventory, raw_files, raw_table
+from wickflow.sources.raw import RAW_FILE_PATTERN, inventory, raw_files, raw_table, with_start_date
 from wickflow.streaming.ingest import ingest, message_stream
 
 from conftest import candle
@@ -66,28 +68,81 @@ def test_landing_moves_archives_and_marks_once(spark, tmp_path):
 
     plain_file(base, "BTCUSDT", "2026-01-13", "us")
     plain_file(base, "ETHUSDT", "2026-01-13", "us")
-    assert run() == 0
-    plain_file(base, "BTCUSDT", "2026-01-14", "us")
     assert run() == 2
-    assert waiting() == [("BTCUSDT", 14)]
+    assert waiting() == []
+    plain_file(base, "BTCUSDT", "2026-01-14", "us")
+    assert run() == 1
     assert run() == 0
     plain_file(base, "BTCUSDT", "2026-01-15", "us")
-    assert run() == 1
+    assert run() == 0
     marked = landing.closed_table(spark, closed).collect()
     assert sorted((r.symbol, r.date.day) for r in marked) == [
         ("BTCUSDT", 13), ("BTCUSDT", 14), ("ETHUSDT", 13)]
     assert raw_table(spark, raw).count() == 8
-    assert raw_files(spark, archive).count() == 3
+    assert raw_files(spark, archive).count() == 4
 
 
-def test_a_corrupt_file_stops_the_run_or_is_skipped(spark, tmp_path):
-    base, raw, checkpoint, archive = (str(tmp_path / n) for n in ("in", "raw", "cp", "archive"))
+def test_an_unread_file_stays_and_keeps_its_date_open(spark, tmp_path):
+    base, raw, archive, closed = (str(tmp_path / n) for n in ("in", "raw", "archive", "closed"))
     plain_file(tmp_path / "in", "BTCUSDT", "2026-01-13", "us")
-    (tmp_path / "in" / "binance" / "BTCUSDT" / "2026-01-13" / "bad.parquet").write_text("no parquet")
+    plain_file(tmp_path / "in", "BTCUSDT", "2026-01-12", "us")
+    bad = tmp_path / "in" / "binance" / "BTCUSDT" / "2026-01-13" / "bad.parquet"
+    bad.write_text("no parquet")
     with pytest.raises(Exception):
-        landing.land_files(spark, base, raw, checkpoint, archive)
-    landing.land_files(spark, base, raw, checkpoint, archive, skip_corrupt=True)
-    assert raw_table(spark, raw).count() == 2
+        landing.land_files(spark, base, raw, str(tmp_path / "cp"), archive)
+    marked = landing.land_archive_mark(
+        spark, base, raw, str(tmp_path / "cp"), archive, closed, "2026-01-15", skip_corrupt=True)
+    assert marked == 1 and bad.exists()
+    assert [r.date.day for r in landing.closed_table(spark, closed).collect()] == [12]
+    assert raw_table(spark, raw).count() == 4
+    assert raw_files(spark, archive).count() == 2
+
+
+def test_old_and_nanosecond_files_land(spark, tmp_path):
+    base, raw, archive = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "archive")
+    for date, age in (("2026-01-12", 400), ("2026-01-13", 8), ("2026-01-14", 0)):
+        plain_file(base, "BTCUSDT", date, None)
+        for file in (base / "binance" / "BTCUSDT" / date).glob("*.parquet"):
+            os.utime(file, (time.time() - age * 86_400,) * 2)
+    landing.land_files(spark, str(base), raw, str(tmp_path / "cp"), archive, nanoseconds=True)
+    assert raw_table(spark, raw).select("date").distinct().count() == 3
+    assert raw_files(spark, archive).count() == 3
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
+
+
+def test_old_messages_are_read(job, tmp_path):
+    job("new.txt", message())
+    (tmp_path / "in" / "old.txt").write_text(message(s="ETHUSDT") + "\n")
+    os.utime(tmp_path / "in" / "old.txt", (time.time() - 400 * 86_400,) * 2)
+    assert job("none.txt", "").count() == 2
+
+
+def test_what_ingest_wrote_can_be_landed_and_appended_to(spark, job, frame, tmp_path):
+    texts = [message(), message(s="ETHUSDT")] * 50
+    job("a.txt", *texts)
+    landing_folder = str(tmp_path / "raw")
+    assert raw_files(spark, landing_folder).count() == 2
+    landing.append_raw(frame([candle("BTCUSDT", "2026-01-12T00:00:00", 1)]), landing_folder)
+    args = [str(tmp_path / n) for n in ("landed", "cp", "archive", "closed")]
+
+    def run():
+        return landing.land_archive_mark(
+            spark, landing_folder, *args, "2026-01-14", named_folders=True)
+
+    assert run() == 3
+    job("b.txt", message())
+    assert run() == 0
+    assert raw_table(spark, args[0]).count() == 102
+    assert raw_files(spark, landing_folder).count() == 0
+
+
+def test_a_repeated_batch_replaces_itself(spark, frame, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = with_start_date(frame([candle("BTCUSDT", "2026-01-12T00:00:00", 1)]))
+    landing.append_raw(rows, path)
+    for name in ("a", "b", "b"):
+        landing.write_batch(rows, path, name)
+    assert raw_table(spark, path).count() == 3
 
 
 def test_append_raw_partitions_by_start_date(spark, frame, tmp_path):

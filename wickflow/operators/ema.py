@@ -20,10 +20,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wickflow.operators.layers import Layers, double, lag
 
@@ -200,25 +198,3 @@ def carried_over(spans: Iterable[int]) -> dict[str, str]:
         f" + power({double(decay(s))}, count_if(NOT _today) {of_symbol}) * _seed"
         for s in spans
     }
-
-
-def grouped_ema(rows: DataFrame, spans: Iterable[int], order: Iterable[str]) -> DataFrame:
-    """EMAs by a grouped map in pandas, one group per symbol.
-
-    A group is one task's memory: only for symbols of a checked size.
-    """
-    spans, order = tuple(spans), list(order)
-    outputs = {column(s): s for s in spans}
-
-    # Uses local names only, so workers need not have this package installed.
-    def add_emas(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        close = group["close"]
-        return group.assign(
-            **{name: close.ewm(span=s, adjust=False).mean() for name, s in outputs.items()}
-        )
-
-    schema = T.StructType(
-        rows.schema.fields + [T.StructField(column(s), T.DoubleType()) for s in spans]
-    )
-    return rows.groupBy("symbol").applyInPandas(add_emas, schema=schema)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date
-from wickflow.operators.ema import apply_carries, carried_over, ema_layers, grouped_ema
+from wickflow.operators.ema import apply_carries, carried_over, ema_layers
 from wickflow.operators.layers import Layers, add_layers, lag, trailing
 from wickflow.operators.sequence import ORDER, Limits, measure, over_symbol_rows
 from wickflow.schemas import FEATURE_SPANS, FEATURES, RSI_ROWS
@@ -173,16 +173,6 @@ def ema(
     return over_symbol_rows(candles.select(*INPUTS), spans=spans, limits=limits)
 
 
-def ema_grouped(
-    candles: DataFrame, spans: Iterable[int] = FEATURE_SPANS, limits: Limits = Limits()
-) -> DataFrame:
-    """EMAs by grouped map; a symbol too large for one task goes to ``ema``."""
-    rows = candles.select(*INPUTS)
-    if measure(rows).largest > limits.symbol_rows:
-        return ema(candles, spans, limits)
-    return grouped_ema(rows, spans, ORDER)
-
-
 def feature_layers() -> list[Layers]:
     return [return_layers(), mean_layers(), volatility_layers(), rsi_layers()]
 
@@ -212,7 +202,8 @@ def feature_snapshot(
 ) -> DataFrame:
     """Features of the candles that close on ``date``, as of its lookback.
 
-    Only the lookback's partitions are scanned, once, and shuffled once. Earlier
+    Only the lookback's partitions are scanned: once to count, by two columns, and
+    once for the features, which shuffles them once. Earlier
     days are summed up into one number per symbol and EMA. After that only their
     last rows are kept, those that the frames of the date reach into, so most
     window functions see little more than the date itself.

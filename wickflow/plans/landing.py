@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,8 +15,11 @@ from wickflow.schemas import RAW_CANDLES, RAW_COLUMNS, RAW_PARTITIONS
 from wickflow.session import configure
 from wickflow.sources.raw import (
     HIVE_FILE_PATTERN,
+    NANO_CANDLES,
     RAW_FILE_PATTERN,
     inventory,
+    nanos_session,
+    nanos_to_micros,
     raw_files,
     raw_table,
     with_start_date,
@@ -30,18 +34,33 @@ PARTITION_SCHEMA = T.StructType(
 )
 
 
-def append_raw(candles: DataFrame, path: str) -> None:
-    """Appends candles to the raw table, under the date they start on."""
+def write_batch(dated: DataFrame, path: str, batch: str) -> None:
+    """Writes rows into the raw table as the batch of that name.
+
+    Writing a batch again replaces it and nothing else, so a repeated micro-batch
+    leaves no copies. Rows are rebalanced by partition: a file each while small.
+    """
     (
-        with_start_date(candles)
-        .select(*RAW_COLUMNS, "date")
+        dated.select(*RAW_COLUMNS, "date", F.lit(batch).alias("batch"))
         .hint("rebalance", *RAW_PARTITIONS)
-        .write.mode("append")
-        .partitionBy(*RAW_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*RAW_PARTITIONS, "batch")
         .parquet(path)
     )
 
 
+def append_raw(candles: DataFrame, path: str) -> None:
+    """Appends candles to the raw table, under the date they start on."""
+    write_batch(with_start_date(candles), path, f"append-{uuid.uuid4().hex}")
+
+
+def stream_batch(spark: SparkSession, checkpoint: str, number: int) -> str:
+    """Name of a micro-batch: the same when it is repeated, another for a new checkpoint."""
+    stream = spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+    return f"stream-{stream}-{number}"
+
+
 def land_files(
     spark: SparkSession,
     landing: str,
@@ -51,40 +70,81 @@ def land_files(
     named_folders: bool = False,
     max_files: int = 10_000,
     skip_corrupt: bool = False,
+    nanoseconds: bool = False,
 ) -> None:
     """Appends every new file under ``landing`` to the raw table, then archives it.
 
     Files are taken once: the checkpoint holds what was read, and a run that died
     goes on where it stopped. Folders are ``exchange/symbol/date``, or
-    ``exchange=/symbol=/date=`` with ``named_folders``. A file that cannot be read
-    stops the run; with ``skip_corrupt`` the others go on and it is archived
-    unread. The files of a micro-batch are archived when the next one starts, so
-    those of the last one wait for the next run that finds new files.
+    ``exchange=/symbol=/date=`` with ``named_folders``, as ``ingest`` writes them.
+    ``nanoseconds`` takes files with timestamps in nanoseconds.
+
+    A file is archived only when rows of it are in the raw table. One that cannot
+    be read stops the run; with ``skip_corrupt`` the others go on, while it stays
+    in ``landing``, so its partition is never marked closed. The same goes for a
+    file without rows. Move such files away to close the date.
     """
     configure(spark)
-    schema = T.StructType(RAW_CANDLES.fields + [T.StructField("date", T.DateType())])
+    session = nanos_session(spark) if nanoseconds else spark
+    candles = NANO_CANDLES if nanoseconds else RAW_CANDLES
+    schema = T.StructType(candles.fields + [T.StructField("date", T.DateType())])
     files = (
-        spark.readStream.schema(schema if named_folders else RAW_CANDLES)
+        session.readStream.schema(schema if named_folders else candles)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", str(not named_folders).lower())
         .option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
         .option("ignoreCorruptFiles", str(skip_corrupt).lower())
-        .option("cleanSource", "archive")
-        .option("sourceArchiveDir", archive)
         .parquet(landing)
+        .select(*RAW_COLUMNS, F.col("_metadata.file_path").alias("file"))
     )
+    landed = f"{checkpoint}/landed"
+
+    def land(rows: DataFrame, number: int) -> None:
+        batch = stream_batch(spark, checkpoint, number)
+        rows = rows.persist()
+        write_batch(with_start_date(nanos_to_micros(rows)), raw_path, batch)
+        (
+            rows.select("file", F.lit(batch).alias("batch"))
+            .distinct()
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(landed)
+        )
+        rows.unpersist()
+
     (
-        with_start_date(files)
-        .select(*RAW_COLUMNS, "date")
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*RAW_PARTITIONS)
+        files.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(raw_path)
+        .start()
         .awaitTermination()
     )
+    # only now is every batch committed, and none of them read again
+    archive_files(spark, landing, landed, archive)
+
+
+def archive_files(spark: SparkSession, landing: str, landed: str, archive: str) -> None:
+    """Moves the files under ``landing`` that ``landed`` names below ``archive``.
+
+    Moves are requests to the file system, made one by one as the names arrive.
+    """
+    try:
+        taken = spark.read.schema("file string").parquet(landed)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    files = raw_files(spark, landing).join(taken.select("file").distinct(), "file", "left_semi")
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in files.select("file").toLocalIterator():
+        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file))
+        target = jvm.org.apache.hadoop.fs.Path(archive + source.toUri().getPath())
+        system = source.getFileSystem(conf)
+        system.mkdirs(target.getParent())
+        if not system.rename(source, target):
+            raise OSError(f"cannot move {row.file} to {target}")
 
 
 def closed_table(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +167,7 @@ def mark_closed(
 ) -> int:
     """Marks partitions of past dates that have no file left in ``landing``.
 
-    A partition is marked once, by the first run after its files were archived.
+    A partition is marked once.
     Returns how many were marked now.
     """
     configure(spark)
@@ -137,7 +197,18 @@ def land_archive_mark(
     closed_path: str,
     as_of: dt.date | str | None = None,
     named_folders: bool = False,
+    skip_corrupt: bool = False,
+    nanoseconds: bool = False,
 ) -> int:
     """One landing run: move files on, archive them, mark what is now closed."""
-    land_files(spark, landing, raw_path, checkpoint, archive, named_folders)
+    land_files(
+        spark,
+        landing,
+        raw_path,
+        checkpoint,
+        archive,
+        named_folders,
+        skip_corrupt=skip_corrupt,
+        nanoseconds=nanoseconds,
+    )
     return mark_closed(spark, landing, raw_path, closed_path, as_of, named_folders)

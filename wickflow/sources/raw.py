@@ -1,7 +1,7 @@
 """Readers of the raw candle table and the slices the gold jobs work on.
 
 Two layouts are read. ``raw_table`` is the one this package writes, partitioned
-by ``exchange=/symbol=/date=``. ``landed_files`` reads plain
+by ``exchange=/symbol=/date=`` and the batch that wrote the rows. ``landed_files`` reads plain
 ``exchange/symbol/date`` folders, which carry no column names. Both end in the
 raw columns plus ``date``, the UTC date of the candle start.
 """
@@ -17,11 +17,18 @@ from pyspark.sql import types as T
 
 from wickflow.functions.calendar import parse_date, parse_month
 from wickflow.schemas import RAW_CANDLES, RAW_COLUMNS, RAW_TIMESTAMPS
+from wickflow.session import configure
 
 # Fixed value: layout of a raw file's path.
-RAW_FILE_PATTERN = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]*\.parquet$"
+RAW_FILE_PATTERN = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/.*\.parquet$"
 HIVE_FILE_PATTERN = (
-    r"exchange=([^/]+)/symbol=([^/]+)/date=(\d{4}-\d{2}-\d{2})/[^/]*\.parquet$"
+    r"exchange=([^/]+)/symbol=([^/]+)/date=(\d{4}-\d{2}-\d{2})/.*\.parquet$"
+)
+
+
+# Raw files with timestamps in nanoseconds.
+NANO_CANDLES = T.StructType(
+    [T.StructField(f.name, T.LongType()) if f.name in RAW_TIMESTAMPS else f for f in RAW_CANDLES]
 )
 
 
@@ -47,26 +54,26 @@ def landed_files(
 
     Symbols and dates become one path glob, so other folders are not listed.
     ``nanoseconds`` reads files whose timestamps were written in nanoseconds,
-    which Spark only accepts as integers; it sets the session to do so.
+    which Spark only accepts as integers, in a session of its own.
     """
     glob = "{}/{}/{{{}}}/{{{}}}/*.parquet".format(
         base.rstrip("/"), exchange, ",".join(symbols), ",".join(str(d) for d in dates)
     )
     if nanoseconds:
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-        schema = T.StructType(
-            [
-                T.StructField(f.name, T.LongType()) if f.name in RAW_TIMESTAMPS else f
-                for f in RAW_CANDLES
-            ]
-        )
-        rows = nanos_to_micros(spark.read.schema(schema).parquet(glob))
+        rows = nanos_to_micros(nanos_session(spark).read.schema(NANO_CANDLES).parquet(glob))
     else:
         rows = spark.read.schema(RAW_CANDLES).parquet(glob)
     date = F.regexp_extract(F.col("_metadata.file_path"), RAW_FILE_PATTERN, 3)
     return rows.withColumn("date", F.to_date(date)).select(*RAW_COLUMNS, "date")
 
 
+def nanos_session(spark: SparkSession) -> SparkSession:
+    """A session that reads nanosecond timestamps as integers; ``spark`` stays as it is."""
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return session
+
+
 def nanos_to_micros(rows: DataFrame) -> DataFrame:
     """Integer nanosecond columns as timestamps; the last three digits are cut off."""
     longs = [f.name for f in rows.schema if f.name in RAW_TIMESTAMPS and f.dataType == T.LongType()]
@@ -140,13 +147,14 @@ def month_of(date: dt.date | str) -> str:
 
 
 def raw_files(spark: SparkSession, base: str) -> DataFrame:
-    """Every Parquet file below ``base``: one row per file, read from the listing."""
+    """Every Parquet file below ``base``, from the listing: ``path``, and the same as ``file``,
+    in the form of ``_metadata.file_path``."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(base)
-        .select("path")
+        .select("path", F.col("_metadata.file_path").alias("file"))
     )
 
 
@@ -159,5 +167,3 @@ def inventory(files: DataFrame, pattern: str = HIVE_FILE_PATTERN) -> DataFrame:
         F.to_date(F.regexp_extract(path, pattern, 3)).alias("date"),
         path,
     )
-
-

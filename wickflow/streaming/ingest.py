@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wickflow.functions.kline import EXCHANGE, INTERVAL, SYMBOLS, parse_klines
-from wickflow.schemas import RAW_COLUMNS, RAW_PARTITIONS
+from wickflow.plans.landing import stream_batch, write_batch
 from wickflow.session import configure
 from wickflow.sources.raw import with_start_date
 
@@ -45,19 +45,21 @@ def ingest(
 ) -> StreamingQuery:
     """Starts the stream from ``messages`` (a streaming ``value`` column).
 
-    ``drain`` processes what is there and stops. Candles are written by the tasks
-    that parsed them, without a shuffle, so a frequent symbol is no bottleneck.
+    ``drain`` processes what is there and stops. Each micro-batch is a batch of the
+    raw table, with one file per partition while that is small. No log of files is
+    kept beside them, so landing may take them and other jobs may append.
     """
-    configure(messages.sparkSession)
+    spark = configure(messages.sparkSession)
     candles = parse_klines(messages, symbols, interval, exchange, bad_prices)
     trigger = {"availableNow": True} if drain else {"processingTime": f"{flush_seconds} seconds"}
+
+    def flush(rows: DataFrame, number: int) -> None:
+        write_batch(rows, raw_path, stream_batch(spark, checkpoint, number))
+
     return (
         with_start_date(candles)
-        .select(*RAW_COLUMNS, "date")
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*RAW_PARTITIONS)
+        .writeStream.foreachBatch(flush)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .start(raw_path)
+        .start()
     )
