@@ -43,7 +43,8 @@ def parse_klines(
     without a kline body (acknowledgements, text that is not JSON), candles that
     are still open and other subscriptions are left out. A price or time that is
     missing or malformed fails the query, or drops the message when
-    ``bad_prices="drop"``. Symbols come out in upper case.
+    ``bad_prices="drop"``. Symbols are matched in any case and come out as ``symbols``
+    has them.
     """
     if bad_prices not in ("raise", "drop"):
         raise ValueError("bad_prices is 'raise' or 'drop'")
@@ -52,11 +53,13 @@ def parse_klines(
     # the optimizer would repeat the decoding in every filter below.
     message = F.from_json(F.col("value").cast("string"), MESSAGE_TYPE)
     body = messages.select(F.inline(F.array(message["data"])))
-    wanted = [symbol.upper() for symbol in symbols]
+    wanted = {symbol.upper(): symbol for symbol in symbols}
+    pairs = [F.lit(text) for pair in wanted.items() for text in pair]
+    named = F.create_map(*(pairs or [F.lit(""), F.lit("")]))  # an empty map has no key type
     kept = body.filter(
         F.col("k").isNotNull()
         & (F.col("k")["x"] == "true")
-        & F.upper(F.col("k")["s"]).isin(wanted)
+        & F.upper(F.col("k")["s"]).isin(list(wanted))
         & (F.col("k")["i"] == interval)
     )
 
@@ -78,7 +81,7 @@ def parse_klines(
 
     candles = kept.select(
         F.lit(exchange).alias("exchange"),
-        F.upper(F.col("k")["s"]).alias("symbol"),
+        named[F.upper(F.col("k")["s"])].alias("symbol"),
         F.col("k")["i"].alias("interval"),
         instant(F.col("E"), "E").alias("event_time"),
         instant(cast("t", "bigint"), "t").alias("candle_start_time"),
