@@ -1,6 +1,7 @@
 """Edge cases, brute force and round trips of the training-data operators."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -217,6 +218,60 @@ def test_ppm(docs, nothing):
     assert ppm.score_documents(nothing, F.lit(False)).count() == 0
 
 
+def ppm_by_hand(train, texts, order=6):
+    """log10 probabilities by dictionaries, one symbol after the other."""
+
+    def code(text):
+        words = (text or "").encode().lower().split()
+        return b" " * order + b"".join(w + b" " for w in words) + b" "
+
+    trie = {}
+    for data in map(code, train):
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                own = trie.setdefault(data[i - k : i], {})
+                own[data[i]] = own.get(data[i], 0) + 1
+
+    def symbol(data, i):
+        out, excluded = 0.0, set()
+        for k in range(order, -1, -1):
+            own = {s: n for s, n in trie.get(data[i - k : i], {}).items() if s not in excluded}
+            total = sum(own.values())
+            if data[i] in own:
+                return out + math.log10((own[data[i]] - 0.5) / total)
+            if total:
+                out += math.log10(len(own) / (2 * total))
+            excluded |= set(own)
+        return out - math.log10(256 - len(excluded))
+
+    return [sum(symbol(d, i) for i in range(order, len(d))) for d in map(code, texts)]
+
+
+def test_ppm_predicts_across_words(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    words = ["the", "There", "then", "a", "an", "\u00e9t\u00e9", "other", "he", "\ta\n"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += ["the other then a there", "there a then other the", None, "", " x ", "unseen zq", "a", "  two  spaces  "]
+    held = [i % 3 == 2 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    expected = ppm_by_hand([t for t, h in zip(texts, held, strict=True) if not h], texts)
+    for scale, most, piece in ((25_000, 12 << 20, 2 << 20), (10, 300, 50)):
+        monkeypatch.setattr(ppm, "BUCKET_SCALE", scale)
+        monkeypatch.setattr(ppm, "BLOCK_BYTES", most)
+        monkeypatch.setattr(ppm, "PIECE", piece)
+        monkeypatch.setattr(ppm, "STRIDE", piece)
+        rows = sorted(ppm.score_documents(docs, F.col("doc_id") % 3 == 2).collect())
+        assert [r.score for r in rows] == pytest.approx(expected, abs=1e-9)
+        assert [r.n_tokens for r in rows] == [len((t or "").split()) + 1 for t in texts]
+        train = {w for t, h in zip(texts, held, strict=True) if not h for w in (t or "").lower().split()}
+        assert [r.n_known for r in rows] == [1 + sum(w in train for w in (t or "").lower().split()) for t in texts]
+    assert rows[60].score != rows[61].score  # the same words in another order
+    alone = ppm.score_documents(docs.filter("doc_id = 65"), F.lit(True)).first()
+    assert alone.score == pytest.approx(-11 * math.log10(256))
+
+
 def test_licenses(spark, docs, nothing):
     templates = spark.createDataFrame(licenses.TEMPLATES, "license string, body string")
     text = LONG + "\nReleased under the MIT  License! " + LONG
