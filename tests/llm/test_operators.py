@@ -144,6 +144,25 @@ def test_simhash(spark, docs, nothing, monkeypatch, heavy):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_simhash_takes_words_and_radius(spark):
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(120)]
+    texts = []
+    for k in range(12):
+        own = list(base)
+        for _ in range(k % 5):
+            own[rng.randrange(120)] = f"z{rng.randrange(99)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for n, radius in ((5, 9), (2, 1)):
+        prints = [simhash.fingerprint(t.encode(), n) for t in texts]
+        root = list(range(len(texts)))
+        while root != (after := [min(root[j] for j in range(len(texts)) if (prints[i] ^ prints[j]).bit_count() <= radius) for i in range(len(texts))]):
+            root = after
+        found = sorted(simhash.near_duplicates(docs, words=n, radius=radius).collect())
+        assert [(r.fingerprint, r.component_id) for r in found] == [(format(p, "016x"), c) for p, c in zip(prints, root, strict=True)]
+
+
 def test_token_file(spark, docs, nothing, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenfile.write_tokens(docs, f"{tmp_path}/a", path)
