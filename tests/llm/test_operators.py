@@ -144,6 +144,20 @@ def test_simhash(spark, docs, nothing, monkeypatch, heavy):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    def words(name, other=None):
+        return " ".join(f"{name}{i}" for i in range(300)) + (f" {other}" if other else "")
+
+    a, near = words("a"), words("a", "tail")
+    rows = [(3, near), (5, a), (5, words("b")), (7, words("c")), (7, words("d")), (8, words("e")), (8, words("e"))]
+    rows += [(None, a), (None, words("c")), (None, words("f")), (None, words("f")), (None, words("g"))]
+    assert 0 < (simhash.fingerprint(a.encode()) ^ simhash.fingerprint(near.encode())).bit_count() <= 4
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id or 0, r.text) for r in simhash.one_of_each(docs).collect()))
+    expected = [(3, near), (5, words("b")), (7, words("c")), (7, words("d")), (8, words("e")), (0, words("f")), (0, words("g"))]
+    assert kept == sorted(expected)
+
+
 def test_simhash_takes_words_and_radius(spark):
     rng = random.Random(5)
     base = [f"t{i}" for i in range(120)]
