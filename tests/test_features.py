@@ -143,6 +143,21 @@ def test_split_emas_alone(frame):
     assert_close(split[["ema_60"]], pandas_ema(rows, (60,))[["ema_60"]])
 
 
+def test_candles_without_a_close_are_left_out_on_both_sides_of_the_limit(frame):
+    from pyspark.sql import functions as F
+
+    rows = frame(series("A", walk(31, 1300)))
+    nth = F.unix_timestamp("candle_close_time") / 60
+    holed = rows.withColumn("close", F.when(nth.cast("long") % 97 == 0, F.lit(None)).when(
+        nth.cast("long") % 89 == 0, F.lit(math.nan)).otherwise(F.col("close")))
+    whole, split = (collected(ft.ema(holed, limits=x), "candle_close_time") for x in (Limits(), SPLIT))
+    assert 1200 < len(whole) == len(split) < 1300
+    for n in FEATURE_SPANS:
+        expected = whole.close.ewm(span=n, adjust=False).mean()
+        np.testing.assert_allclose(whole[f"ema_{n}"], expected, rtol=1e-9)
+        np.testing.assert_allclose(split[f"ema_{n}"], expected, rtol=1e-9)
+
+
 def test_split_keeps_rows_without_a_symbol(frame):
     rows = frame(series(None, walk(24, 1300)) + series("B", walk(25, 700)))
     whole, split = collected(ft.features(rows)), collected(ft.features(rows, SPLIT))

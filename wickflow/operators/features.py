@@ -151,6 +151,12 @@ def add_calendar(rows: DataFrame) -> DataFrame:
     )
 
 
+def _with_close(candles: DataFrame) -> DataFrame:
+    """The inputs of candles that have a close. One without, NULL or NaN, is left out
+    before any size is looked at, so EMAs do not depend on the limits."""
+    return candles.select(*INPUTS).filter("close IS NOT NULL AND NOT isnan(close)")
+
+
 def returns(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return over_symbol_rows(candles.select(*INPUTS), [return_layers()], FRAME_ROWS, limits=limits)
 
@@ -170,7 +176,7 @@ def rsi(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def ema(
     candles: DataFrame, spans: Iterable[int] = FEATURE_SPANS, limits: Limits = Limits()
 ) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), spans=spans, limits=limits)
+    return over_symbol_rows(_with_close(candles), spans=spans, limits=limits)
 
 
 def feature_layers() -> list[Layers]:
@@ -180,7 +186,7 @@ def feature_layers() -> list[Layers]:
 def features(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All 20 feature columns for every candle, the first one seeding the EMAs."""
     rows = over_symbol_rows(
-        candles.select(*INPUTS), feature_layers(), FRAME_ROWS, FEATURE_SPANS, limits
+        _with_close(candles), feature_layers(), FRAME_ROWS, FEATURE_SPANS, limits
     )
     return _feature_table(rows)
 
@@ -208,7 +214,7 @@ def feature_snapshot(
     last rows are kept, those that the frames of the date reach into, so most
     window functions see little more than the date itself.
     """
-    lookback = slice_lookback(raw, date, lookback_days, symbols).select(*INPUTS)
+    lookback = _with_close(slice_lookback(raw, date, lookback_days, symbols))
     midnight = dt.datetime.combine(parse_date(date), dt.time(), dt.timezone.utc)
     start, end = F.lit(midnight), F.lit(midnight + dt.timedelta(days=1))
 
