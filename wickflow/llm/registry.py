@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickflow.llm import decontaminate, licenses, pieces, ppm, quality, simhash, tokenfile, toxicity, urlrules, warc
+from wickflow.llm import decontaminate, licenses, pieces, ppm, quality, repeats, simhash, tokenfile, toxicity, urlrules, warc
 
-MODULES = [licenses, ppm, toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc]
+MODULES = [licenses, ppm, toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc, repeats]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
