@@ -13,9 +13,11 @@ meets at the anchors:
    of them are cut into phrases at content-defined places. The suffix array of a shard's
    phrases (``suffixgroups``) and its common prefixes say which strings agree between
    their first and last phrase bounds; the bytes outside are compared by their hash;
-3. an anchor with more than ``CHUNK`` different surroundings is dealt to several shards.
-   Each names the strings it has found twice and those it has once, and they are counted
-   over the shards;
+3. an anchor with more than ``CHUNK`` different surroundings is taken band by band: the
+   strings of a band start within ``BAND`` bytes of each other, so all of them hold its
+   core, and only surroundings with an equal core meet. Where more than ``CHUNK`` do, they
+   are dealt to several shards; each names the strings it has found twice and those it has
+   once, and they are counted over the shards;
 4. the spans go back to their texts, where they are merged.
 
 Pairs of an anchor and its surroundings with more copies than a ten-thousandth of all
@@ -56,6 +58,7 @@ BLOCK = 1 << 20
 SIEVE_BITS = 26
 SHARD = 2_000
 CHUNK = 4_000
+BAND = 18
 HEAVY = 10_000
 
 _PLACE_BITS = np.uint64(22)
@@ -165,24 +168,34 @@ def _occurrences(sieve):
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around the wanted anchors of each text."""
+    """The bytes around the wanted anchors of each text: whole (band -1), or for each band
+    of starts the bytes of its strings and a hash of those they all hold."""
     for part, texts in blocks(batches, "text", BLOCK):
         wanted = part.column("wanted")
         counts = np.diff(np.asarray(wanted.offsets))
         flat = wanted.flatten()
         own = np.repeat(np.arange(len(texts)), counts)
         place = texts.offsets[own] + np.asarray(flat.field("at")).astype(np.int64)
-        begin = np.maximum(texts.offsets[own], place - REACH)
-        end = np.minimum(texts.offsets[own + 1], place + WINDOW)
-        data = texts.data.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(flat.field(name) for name in ("anchor", "around", "copies", "chunks")),
-                pa.array(place - begin, pa.int32()),
-                pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
-            ],
-            ["anchor", "around", "copies", "chunks", "before", "bytes"],
-        )
+        split = np.asarray(flat.field("split")).astype(np.int64)
+        low, high = texts.offsets[own], texts.offsets[own + 1]
+        data, hashes = texts.data.tobytes(), Hashes(texts.data)
+        for band in range(-1, -(-(REACH + 1) // BAND)):
+            least, most = (-REACH, 0) if band < 0 else (-REACH + band * BAND, min(0, -REACH + band * BAND + BAND - 1))
+            begin, end = np.maximum(low, place + least), np.minimum(high, place + most + WINDOW)
+            mine = np.flatnonzero((split == (band >= 0)) & (end - begin >= WINDOW))
+            begin, end, at = begin[mine], end[mine], place[mine]
+            core = np.zeros(len(mine), np.uint64) if band < 0 else hashes.spans(at + most, at + least + WINDOW)
+            rows = pa.array(mine)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(flat.field(name).take(rows) for name in ("anchor", "around", "copies")),
+                    pa.array(np.full(len(mine), band, np.int32)),
+                    pa.array(core.view(np.int64)),
+                    pa.array(at - begin, pa.int32()),
+                    pa.array([data[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
+                ],
+                ["anchor", "around", "copies", "band", "core", "before", "bytes"],
+            )
 
 
 def string_classes(
@@ -239,13 +252,20 @@ def string_classes(
     return owner, relative, code, hashes.spans(start, start + WINDOW)
 
 
-def _shard(anchor: np.ndarray, around: np.ndarray, copies: np.ndarray, chunks: np.ndarray, before: np.ndarray, column: pa.Array):
-    """Repeated strings of a shard: runs of starts (``win`` null), and of anchors in several
+def _shard(
+    anchor: np.ndarray,
+    around: np.ndarray,
+    copies: np.ndarray,
+    group: np.ndarray,
+    chunks: np.ndarray,
+    before: np.ndarray,
+    column: pa.Array,
+) -> Iterator[pa.RecordBatch]:
+    """Repeated strings of a shard: runs of starts (``win`` null), and of groups in several
     shards the strings met twice (``around`` null) or once."""
     texts = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data, bounds = texts[ends[0] : ends[-1]], ends - ends[0]
-    _, group = np.unique(anchor, return_inverse=True)
     owner, relative, code, win = string_classes(data, bounds, before, group)
     _, inverse, met = np.unique(code, return_inverse=True, return_counts=True)
     twice = (met[inverse] > 1) | (copies[owner] > 1)
@@ -278,15 +298,29 @@ def _shard(anchor: np.ndarray, around: np.ndarray, copies: np.ndarray, chunks: n
             )
 
 
+GROUP = ("anchor", "band", "core", "chunk")
+
+
 def _sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor and chunk, cut into shards between groups."""
+    """Rows sorted by group, cut into shards between groups."""
+
+    def groups(table: pa.Table) -> np.ndarray:
+        """The number of each row's group, in order."""
+        fresh = np.zeros(table.num_rows, bool)
+        for name in GROUP:
+            column = np.asarray(table.column(name))
+            fresh[1:] |= column[1:] != column[:-1]
+        return np.cumsum(fresh)
 
     def solved(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
-        pair = np.stack([np.asarray(table.column(c)) for c in ("anchor", "around")])
-        table = table.take(np.sort(np.unique(pair, axis=1, return_index=True)[1])).combine_chunks()
-        columns = [np.asarray(table.column(c)) for c in ("anchor", "around", "copies", "chunks", "before")]
-        yield from _shard(*columns, table.column("bytes").combine_chunks())
+        group = groups(table)
+        pair = np.stack([group, np.asarray(table.column("around"))])
+        once = np.sort(np.unique(pair, axis=1, return_index=True)[1])  # repeated rows fetch the same
+        table = table.take(once).combine_chunks()
+        anchor, around, copies, chunks, before = (
+            np.asarray(table.column(c)) for c in ("anchor", "around", "copies", "chunks", "before")
+        )
+        yield from _shard(anchor, around, copies, group[once], chunks, before, table.column("bytes").combine_chunks())
 
     held: list[pa.RecordBatch] = []
     rows = 0
@@ -297,8 +331,7 @@ def _sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows += batch.num_rows
         while rows > SHARD:
             table = pa.Table.from_batches(held)
-            group = np.stack([np.asarray(table.column("anchor")), np.asarray(table.column("chunk"))])
-            edges = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+            edges = np.flatnonzero(np.diff(groups(table))) + 1
             edges = edges[edges >= SHARD]
             if not len(edges):
                 break
@@ -374,17 +407,26 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     several = pairs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     wanted = (
         pairs.join(several, "anchor")
-        .select("where.*", *pair, F.least("copies", F.lit(2)).alias("copies"), F.ceil(F.col("n") / CHUNK).alias("chunks"))
+        .select("where.*", *pair, F.least("copies", F.lit(2)).alias("copies"), (F.col("n") > CHUNK).alias("split"))
         .groupBy("key", "size")
-        .agg(F.collect_list(F.struct("at", *pair, "copies", "chunks")).alias("wanted"))
+        .agg(F.collect_list(F.struct("at", *pair, "copies", F.col("split").cast("int").alias("split"))).alias("wanted"))
     )
-    shards = (
+    fetched = stored(
         texts.join(wanted, ["key", "size"])
         .select("text", "wanted")
-        .mapInArrow(_fetched, "anchor bigint, around bigint, copies bigint, chunks bigint, before int, bytes binary")
+        .mapInArrow(_fetched, "anchor bigint, around bigint, copies bigint, band int, core bigint, before int, bytes binary"),
+        "fetched",
+    )
+    banded = fetched.filter("band >= 0")
+    cores = banded.groupBy(*GROUP[:3]).agg(F.count("*").alias("n")).filter("n > 1")
+    met = banded.join(cores.withColumn("chunks", F.ceil(F.col("n") / CHUNK)).drop("n"), list(GROUP[:3]))
+    shards = (
+        fetched.filter("band < 0")
+        .withColumn("chunks", F.lit(1).cast("long"))
+        .unionByName(met)
         .withColumn("chunk", F.pmod("around", "chunks"))
-        .repartition("anchor", "chunk")
-        .sortWithinPartitions("anchor", "chunk")
+        .repartition(*GROUP)
+        .sortWithinPartitions(*GROUP)
     )
     found = stored(
         shards.mapInArrow(_sharded, "anchor bigint, around bigint, n bigint, first int, last int, win bigint"),
