@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickflow.llm import decontaminate, licenses, pieces, ppm, quality, repeats, simhash, tokenfile, toxicity, urlrules, warc
-
-MODULES = [licenses, ppm, toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc, repeats]
+from wickflow.llm import (
+    decontaminate,
+    divergence,
+    licenses,
+    pieces,
+    ppm,
+    quality,
+    repeats,
+    simhash,
+    tokenfile,
+    toxicity,
+    urlrules,
+    variants,
+    warc,
+)
+
+MODULES = [licenses, ppm, toxicity, quality, urlrules, decontaminate, pieces, simhash, tokenfile, warc, variants, repeats, divergence]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
