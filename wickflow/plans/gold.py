@@ -13,10 +13,11 @@ from wickflow.functions.calendar import parse_date
 from wickflow.functions.kline import EXCHANGE, SYMBOLS
 from wickflow.operators.features import feature_snapshot
 from wickflow.operators.ohlc import ohlc
-from wickflow.operators.partitions import next_gold_date, raw_partitions
+from wickflow.operators.partitions import next_gold_date
 from wickflow.operators.sequence import Limits
 from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
 from wickflow.session import configure, scratch_path
+from wickflow.sources.index import partition_index
 from wickflow.sources.raw import (
     month_of,
     raw_slice,
@@ -152,14 +153,14 @@ def refresh(
 ) -> dt.date | None:
     """One refresh step: choose the date and run it, or do nothing.
 
-    Returns the date, or None when no date is complete. Runs again on the same
-    raw rows change nothing.
+    The choice reads the raw table's index only. Returns the date, or None when no date
+    is complete or there is no table yet. Runs again on the same raw rows change nothing.
     """
     configure(spark)
     symbols = list(symbols)
     if date is None:
-        raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
-        date = next_gold_date(raw_partitions(raw), symbols, as_of).first().date
+        held = partition_index(spark, raw_path).filter(F.col("exchange") == exchange)
+        date = next_gold_date(held, symbols, as_of).first().date
         if date is None:
             return None
     date = parse_date(date)

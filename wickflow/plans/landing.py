@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import warnings
+from collections.abc import Iterable, Iterator
+from itertools import islice
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickflow.operators.partitions import closed_partitions, raw_partitions
+from wickflow.operators.partitions import closed_partitions
 from wickflow.schemas import RAW_CANDLES, RAW_COLUMNS, RAW_PARTITIONS
-from wickflow.session import configure
+from wickflow.session import configure, hadoop_path, path_exists, remove_path
+from wickflow.sources import index
 from wickflow.sources.raw import (
     HIVE_FILE_PATTERN,
     NANO_CANDLES,
@@ -21,7 +26,6 @@ from wickflow.sources.raw import (
     nanos_session,
     nanos_to_micros,
     raw_files,
-    raw_table,
     with_start_date,
 )
 
@@ -34,20 +38,56 @@ PARTITION_SCHEMA = T.StructType(
 )
 
 
-def write_batch(dated: DataFrame, path: str, batch: str) -> None:
-    """Writes rows into the raw table as the batch of that name.
+# What landing has taken: a file as it was, whom it replaces and where its rows went.
+LEDGER = (
+    "file string, length bigint, modified timestamp, path string, exchange string, symbol string, date date, "
+    "unit string, job string, batch string, run string"
+)
+DELIVERY = ["file", "length", "modified"]
+
+
+class Landed(NamedTuple):
+    """Files landed and archived by a run, and those it could not move, with the reason."""
+
+    landed: int
+    archived: int
+    failed: list[str]
+
+
+def write_batch(
+    dated: DataFrame,
+    path: str,
+    batch: str | Column,
+    write: str | None = None,
+    unit: Column | None = None,
+    job: Column | None = None,
+) -> None:
+    """Writes rows into the raw table as the batch of that name, and into its index.
 
     Writing a batch again replaces it and nothing else, so a repeated micro-batch
     leaves no copies. Rows are rebalanced by partition: a file each while small.
+    Several batches may be written at once; ``write`` then names the index entries, which
+    carry ``unit`` and ``job`` of a delivery.
     """
-    (
-        dated.select(*RAW_COLUMNS, "date", F.lit(batch).alias("batch"))
-        .hint("rebalance", *RAW_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RAW_PARTITIONS, "batch")
-        .parquet(path)
-    )
+    spark = dated.sparkSession
+    named = F.lit(batch) if isinstance(batch, str) else batch
+    of_unit = {} if unit is None else {"unit": unit, "job": job}
+    rows = dated.select(*RAW_COLUMNS, "date", named.alias("batch"), *(c.alias(k) for k, c in of_unit.items())).persist()
+    try:
+        if rows.isEmpty():
+            return
+        index.ensure_index(spark, path)
+        (
+            rows.select(*RAW_COLUMNS, "date", "batch")
+            .hint("rebalance", *RAW_PARTITIONS, "batch")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*RAW_PARTITIONS, "batch")
+            .parquet(path)
+        )
+        index.record(index.entries(rows, *(F.col(k) for k in of_unit)), path, write or str(batch))
+    finally:
+        rows.unpersist()
 
 
 def append_raw(candles: DataFrame, path: str) -> None:
@@ -61,6 +101,68 @@ def stream_batch(spark: SparkSession, checkpoint: str, number: int) -> str:
     return f"stream-{stream}-{number}"
 
 
+# Files that ``ingest`` or ``append_raw`` wrote; a job names all its files alike.
+NAMED_FILE = r"exchange=([^/]+)/symbol=([^/]+)/date=(\d{4}-\d{2}-\d{2})/(?:batch=([^/]+)/)?([^/]+)\.parquet$"
+PART_FILE = r"^part-(\d+)-([0-9a-f]{8}-[0-9a-f-]{27})"
+
+
+def deliveries(files: DataFrame, named_folders: bool) -> DataFrame:
+    """Files with the unit they deliver, the job that delivers it, and the batch of their rows.
+
+    With ``named_folders`` a unit is what one batch wrote into one partition, and its jobs
+    are the times it did; each part is a batch of the raw table, so parts may arrive one by
+    one. Otherwise a unit is a path, and each version of the file a job.
+    """
+    path = F.col("path")
+    stem = F.regexp_extract(path, r"([^/]+)\.parquet$", 1)
+    version = F.concat_ws("-", "length", F.unix_micros("modified"))
+    plain = F.concat(F.lit("file-"), stem, F.lit("-"), F.lower(F.hex(F.xxhash64("path"))))
+    if not named_folders:
+        none = F.lit(None).cast("string")
+        return files.select(
+            *DELIVERY,
+            "path",
+            *(none.alias(c) for c in ("exchange", "symbol")),
+            none.cast("date").alias("date"),
+            path.alias("unit"),
+            version.alias("job"),
+            F.concat(plain, F.lit("."), version).alias("batch"),
+        )
+    part, job = F.regexp_extract(stem, PART_FILE, 1), F.regexp_extract(stem, PART_FILE, 2)
+    found = files.filter(path.rlike(NAMED_FILE)).withColumns(
+        {
+            **{c: _unescaped(F.regexp_extract(path, NAMED_FILE, i + 1)) for i, c in enumerate(RAW_PARTITIONS)},
+            "producer": _unescaped(F.regexp_extract(path, NAMED_FILE, 4)),
+        }
+    )
+    written = (F.col("producer") != "") & (job != "")
+    return found.select(
+        *DELIVERY,
+        "path",
+        "exchange",
+        "symbol",
+        F.to_date("date").alias("date"),
+        F.when(written, F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path).alias("unit"),
+        F.when(written, job).otherwise(version).alias("job"),
+        F.when(written, F.concat_ws(".", "producer", F.left(job, F.lit(8)), part))
+        .otherwise(F.concat(plain, F.lit("."), version))
+        .alias("batch"),
+    )
+
+
+def _unescaped(value: Column) -> Column:
+    """A partition value as it was before Spark escaped it in a path."""
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
+def ledger(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What was landed so far."""
+    path = f"{checkpoint}/ledger"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def land_files(
     spark: SparkSession,
     landing: str,
@@ -71,80 +173,111 @@ def land_files(
     max_files: int = 10_000,
     skip_corrupt: bool = False,
     nanoseconds: bool = False,
-) -> None:
-    """Appends every new file under ``landing`` to the raw table, then archives it.
+) -> Landed:
+    """Lands every delivery under ``landing`` in the raw table, then archives its file.
+
+    A delivery is a file with its length and time of modification; the ledger under
+    ``checkpoint`` holds those landed. A file that comes again under an old name, or a
+    batch written again, is a new delivery of the same unit, and takes the place of the
+    older one's rows wherever that has gone. A run that died is repeated without harm:
+    rows are written under the delivery's own batch, and the ledger after them.
 
-    Files are taken once: the checkpoint holds what was read, and a run that died
-    goes on where it stopped. Folders are ``exchange/symbol/date``, or
-    ``exchange=/symbol=/date=`` with ``named_folders``, as ``ingest`` writes them.
-    ``nanoseconds`` takes files with timestamps in nanoseconds.
+    Folders are ``exchange/symbol/date``, or ``exchange=/symbol=/date=`` with
+    ``named_folders``, as ``ingest`` writes them. ``nanoseconds`` takes files with
+    timestamps in nanoseconds. Files are taken ``max_files`` at a time, oldest first.
 
     A file is archived only when rows of it are in the raw table. One that cannot
     be read stops the run; with ``skip_corrupt`` the others go on, while it stays
     in ``landing``, so its partition is never marked closed. The same goes for a
-    file without rows. Move such files away to close the date.
+    file without rows. Move such files away to close the date. One that cannot be moved
+    does not stop the others either; it is reported, and moved by a later run.
     """
     configure(spark)
     session = nanos_session(spark) if nanoseconds else spark
     candles = NANO_CANDLES if nanoseconds else RAW_CANDLES
-    schema = T.StructType(candles.fields + [T.StructField("date", T.DateType())])
-    files = (
-        session.readStream.schema(schema if named_folders else candles)
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", str(not named_folders).lower())
-        .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
-        .option("ignoreCorruptFiles", str(skip_corrupt).lower())
-        .parquet(landing)
-        .select(*RAW_COLUMNS, F.col("_metadata.file_path").alias("file"))
-    )
-    landed = f"{checkpoint}/landed"
-
-    def land(rows: DataFrame, number: int) -> None:
-        batch = stream_batch(spark, checkpoint, number)
-        rows = rows.persist()
-        write_batch(with_start_date(nanos_to_micros(rows)), raw_path, batch)
-        (
-            rows.select("file", F.lit(batch).alias("batch"))
-            .distinct()
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(landed)
-        )
+    kind = ", ".join(LEDGER.split(", ")[:-1])
+    moved, failed = archive_files(spark, landing, checkpoint, archive)  # of a run that died
+    waiting = deliveries(raw_files(spark, landing), named_folders)
+    waiting = waiting.join(ledger(spark, checkpoint).select(*DELIVERY), DELIVERY, "left_anti")
+    landed = 0
+    for chosen in _chunks(waiting.orderBy("modified", "file").toLocalIterator(), max_files):
+        run = uuid.uuid4().hex
+        taken = F.broadcast(spark.createDataFrame(chosen, kind))  # at most max_files rows
+        read = session.read.schema(candles).option("ignoreCorruptFiles", str(skip_corrupt).lower())
+        rows = nanos_to_micros(read.parquet(*(r.path for r in chosen)).select(*RAW_COLUMNS, F.col("_metadata.file_path").alias("file")))
+        rows = with_start_date(rows).join(taken.drop("length", "modified", "path").withColumnsRenamed(
+            {c: f"{c}_of_folder" for c in RAW_PARTITIONS}), "file")
+        rows = rows.withColumns({c: F.coalesce(f"{c}_of_folder", c) for c in RAW_PARTITIONS}).persist()
+        write_batch(rows, raw_path, F.col("batch"), f"land-{run}", F.col("unit"), F.col("job"))
+        done = taken.join(rows.select("file").distinct(), "file", "left_semi")
+        counted = Observation()
+        done.observe(counted, F.count(F.lit(1)).alias("files")).write.mode("overwrite").parquet(f"{checkpoint}/ledger/run={run}")
+        landed += counted.get["files"]
         rows.unpersist()
+        remove_replaced(spark, raw_path)
+    again, failed = archive_files(spark, landing, checkpoint, archive)
+    if failed:
+        warnings.warn(f"{len(failed)} landed files could not be moved: {failed[:5]}", stacklevel=2)
+    return Landed(landed, moved + again, failed)
 
-    (
-        files.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    # only now is every batch committed, and none of them read again
-    archive_files(spark, landing, landed, archive)
+
+def _chunks(rows: Iterable[Row], size: int) -> Iterator[list[Row]]:
+    rows = iter(rows)
+    while chunk := list(islice(rows, size)):
+        yield chunk
+
+
+def remove_replaced(spark: SparkSession, raw_path: str) -> int:
+    """Removes the rows of deliveries that came again since, and says so in the index.
+
+    The newer rows are there already. Folders are named one by one, as few come again.
+    """
+    found = index.stale(spark, raw_path)
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    gone = []
+    for row in found.toLocalIterator():
+        folder = "/".join(f"{c}={escaped(str(row[c]))}" for c in index.BATCH)
+        remove_path(spark, f"{raw_path}/{folder}")
+        gone.append(row)
+    if gone:
+        removed = spark.createDataFrame(gone, found.schema).withColumns(
+            {"n_rows": F.lit(0).cast("long"), "written": F.current_timestamp()}
+        )
+        index.record(removed.drop("write"), raw_path, f"removed-{uuid.uuid4().hex}")
+    return len(gone)
 
 
-def archive_files(spark: SparkSession, landing: str, landed: str, archive: str) -> None:
-    """Moves the files under ``landing`` that ``landed`` names below ``archive``.
+def archive_files(spark: SparkSession, landing: str, checkpoint: str, archive: str) -> tuple[int, list[str]]:
+    """Moves the files under ``landing`` that the ledger names below ``archive``.
 
-    Moves are requests to the file system, made one by one as the names arrive.
+    Moves are requests to the file system, made one by one as the names arrive. A name
+    that is taken gets the time of modification added, so nothing archived is replaced.
+    Returns how many were moved, and which were not.
     """
+    taken = ledger(spark, checkpoint).select(*DELIVERY).distinct()
     try:
-        taken = spark.read.schema("file string").parquet(landed)
+        files = raw_files(spark, landing).join(taken, DELIVERY, "left_semi")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return
-    files = raw_files(spark, landing).join(taken.select("file").distinct(), "file", "left_semi")
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for row in files.select("file").toLocalIterator():
+        return 0, []
+    jvm = spark._jvm
+    moved, failed = 0, []
+    for row in files.select("file", F.unix_millis("modified").alias("at")).toLocalIterator():
         source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file))
-        target = jvm.org.apache.hadoop.fs.Path(archive + source.toUri().getPath())
-        system = source.getFileSystem(conf)
-        system.mkdirs(target.getParent())
-        if not system.rename(source, target):
-            raise OSError(f"cannot move {row.file} to {target}")
+        target = archive + source.toUri().getPath()
+        try:
+            system, path = hadoop_path(spark, target)
+            if system.exists(path):
+                target = f"{target.removesuffix('.parquet')}.{row.at}-{uuid.uuid4().hex[:8]}.parquet"
+                path = jvm.org.apache.hadoop.fs.Path(target)
+            system.mkdirs(path.getParent())
+            if not system.rename(source, path):
+                raise OSError("the file system refuses")
+            moved += 1
+        except Exception as error:  # from the file system, as any kind of Java exception
+            failed.append(f"{row.file} to {target}: {error}")
+    return moved, failed
 
 
 def closed_table(spark: SparkSession, path: str) -> DataFrame:
@@ -167,7 +300,7 @@ def mark_closed(
 ) -> int:
     """Marks partitions of past dates that have no file left in ``landing``.
 
-    A partition is marked once.
+    Which there are says the raw table's index. A partition is marked once.
     Returns how many were marked now.
     """
     configure(spark)
@@ -175,7 +308,7 @@ def mark_closed(
     marked = Observation()
     (
         closed_partitions(
-            raw_partitions(raw_table(spark, raw_path)),
+            index.partition_index(spark, raw_path),
             inventory(raw_files(spark, landing), pattern),
             closed_table(spark, closed_path),
             as_of,

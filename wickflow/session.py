@@ -49,3 +49,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Later stages read it lazily, so it is left to the folder's clean-up.
     """
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as an object of it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, found = hadoop_path(spark, path)
+    return system.exists(found)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder with all in it, or a file; nothing happens where there is none."""
+    system, found = hadoop_path(spark, path)
+    system.delete(found, True)

@@ -36,10 +36,12 @@ class EmptySlice(RuntimeError):
     """A slice that must hold rows holds none."""
 
 
-def raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned raw table; the schema is stated, so no footer is read for it."""
-    schema = T.StructType(RAW_CANDLES.fields + [T.StructField("date", T.DateType())])
-    return spark.read.schema(schema).parquet(path).select(*RAW_COLUMNS, "date")
+def raw_table(spark: SparkSession, path: str, batches: bool = False) -> DataFrame:
+    """The partitioned raw table, with ``batches`` also the batch that wrote each row; the
+    schema is stated, so no footer is read for it."""
+    own = [T.StructField("date", T.DateType()), T.StructField("batch", T.StringType())]
+    schema = T.StructType(RAW_CANDLES.fields + own[: 1 + batches])
+    return spark.read.schema(schema).parquet(path).select(*RAW_COLUMNS, *(f.name for f in own[: 1 + batches]))
 
 
 def landed_files(
@@ -119,15 +121,27 @@ def raw_slice(
     date: dt.date | str | None = None,
     month: str | None = None,
     lookback_days: int | None = None,
+    allow_empty: bool = True,
 ) -> DataFrame:
-    """A day, a lookback or a month, by the arguments given."""
+    """A day, a lookback or a month, by the arguments given.
+
+    Unless ``allow_empty``, a slice without rows fails, and so does one without rows of a
+    symbol that was asked for; only the partition columns are read to know.
+    """
     if date and lookback_days:
-        return slice_lookback(raw, date, lookback_days, symbols)
-    if date:
-        return slice_day(raw, date, symbols)
-    if month:
-        return slice_month(raw, month, symbols)
-    raise ValueError("a slice needs a date, a date with lookback_days, or a month")
+        found = slice_lookback(raw, date, lookback_days, symbols)
+    elif date:
+        found = slice_day(raw, date, symbols)
+    elif month:
+        found = slice_month(raw, month, symbols)
+    else:
+        raise ValueError("a slice needs a date, a date with lookback_days, or a month")
+    if not allow_empty:
+        if symbols is not None:
+            require_symbols(found, symbols)
+        elif found.isEmpty():
+            raise EmptySlice("no raw rows in the slice")
+    return found
 
 
 def require_symbols(sliced: DataFrame, symbols: Iterable[str]) -> None:
@@ -148,13 +162,15 @@ def month_of(date: dt.date | str) -> str:
 
 def raw_files(spark: SparkSession, base: str) -> DataFrame:
     """Every Parquet file below ``base``, from the listing: ``path``, and the same as ``file``,
-    in the form of ``_metadata.file_path``."""
+    in the form of ``_metadata.file_path``, ``length`` and time of modification."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(base)
-        .select("path", F.col("_metadata.file_path").alias("file"))
+        .select(
+            "path", F.col("_metadata.file_path").alias("file"), "length", F.col("modificationTime").alias("modified")
+        )
     )
 
 
