@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickflow.llm.columns import apart
 from wickflow.llm.texts import LOWER, NOT_ALNUM, Texts, blocks, mixed, span_hashes, words
 
 WINDOW = 10
 ITEM_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SIEVE_BITS = 20
 _MASK = np.uint64((1 << SIEVE_BITS) - 1)
 
@@ -195,21 +197,22 @@ def find_matches(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Every row as the struct ``row``, with ``n_words``, ``spans`` of matched words
+    """``columns`` of the rows (default: all) as the struct ``row``, with ``n_words``, ``spans`` of matched words
     (start and end), the matched ``items`` and the words of the ``longest`` match."""
     spark = docs.sparkSession
     kind = items.schema[item_id].dataType.simpleString()
-    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    packed, row = apart(docs, text, columns)
     schema = (
-        f"row {packed.schema['row'].dataType.simpleString()}, text string, n_words bigint, "
+        f"rest {packed.schema['rest'].dataType.simpleString()}, text string, n_words bigint, "
         f"spans array<struct<start:bigint,end:bigint>>, items array<{kind}>, longest bigint"
     )
     tests = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).filter("text <> ''")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // ITEM_BYTES))
     found = packed.selectExpr(
-        "row",
+        "rest",
         "text",
         "CAST(0 AS BIGINT) AS n_words",
         "CAST(array() AS array<struct<start:bigint,end:bigint>>) AS spans",
@@ -220,12 +223,12 @@ def find_matches(
         own = tests.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).collect()
         shared = spark.sparkContext.broadcast(TestSet([r.id for r in own], [r.text for r in own]))
         found = found.mapInArrow(_searched(shared), schema)
-    return found.drop("text")
+    return found.select(row.alias("row"), "n_words", "spans", "items", "longest")
 
 
 def _searched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches, "text"):
+        for part, texts in blocks(batches, "text", BLOCK_BYTES):
             counts, found = matches(shared.value, texts)
             columns = {name: part.column(name) for name in part.schema.names}
             columns["n_words"] = pa.array(counts, pa.int64())
@@ -245,7 +248,7 @@ def _searched(shared):
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), columns=["doc_id"])
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     names = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(

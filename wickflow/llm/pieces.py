@@ -33,6 +33,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickflow.llm.columns import apart
 from wickflow.llm.texts import Texts, blocks, ragged_take, span_hashes
 
 BLOCK_BYTES = 1 << 20
@@ -301,9 +302,9 @@ def vocabulary_of(model: bytes) -> Vocabulary:
 
 
 def encode_documents(
-    docs: DataFrame, model_file: str, text: str = "text", check: bool = True, keep: Iterable[str] = ("*",)
+    docs: DataFrame, model_file: str, text: str = "text", check: bool = True, keep: list[str] | None = None
 ) -> DataFrame:
-    """Every row as the struct ``row`` of the columns to ``keep``, with its ``ids`` and the
+    """Every row as the struct ``row`` of the columns to ``keep`` (default: all), with its ``ids`` and the
     ``decoded`` text."""
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())
 
@@ -315,11 +316,14 @@ def encode_documents(
             decoded = pa.StringArray.from_buffers(
                 len(texts), pa.py_buffer(raw_at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))
             )
-            yield pa.RecordBatch.from_arrays([part.column("row"), listed, decoded], ["row", "ids", "decoded"])
-
-    packed = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, ids array<int>, decoded string")
+            own = [part.column(c) for c in back]
+            yield pa.RecordBatch.from_arrays([*own, listed, decoded], [*back, "ids", "decoded"])
+
+    packed, row = apart(docs, text, keep)
+    back = [c for c in ("rest", "text") if c == "rest" or keep is None or text in keep]
+    kinds = [f"{c} {packed.schema[c].dataType.simpleString()}" for c in back]
+    encoded = packed.mapInArrow(run, ", ".join([*kinds, "ids array<int>", "decoded string"]))
+    return encoded.select(row.alias("row"), "ids", "decoded")
 
 
 def digests(docs: DataFrame, model_file: str) -> DataFrame:

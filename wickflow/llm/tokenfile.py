@@ -9,7 +9,7 @@ so that it can lie in any store Spark writes to and a lost task is simply writte
 
 | column | content |
 |---|---|
-| shard, chunk, start | the chunk index: place, and ids before it in its shard |
+| shard, chunk, start | the chunk index: place, and ids before it in its shard; ``read_range`` seeks by it |
 | n_ids, doc_ids, sizes | ids, documents in order and ids of each |
 | planes | one zstandard frame per bit, lowest first |
 
@@ -186,36 +186,39 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value)
         shard, chunk, start = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple] = []
-        have = 0
-
-        def flush(schema_ids: pa.DataType) -> pa.RecordBatch:
-            ids = np.concatenate([row for _, row in held])
+        # documents not written yet: their ids, sizes and numbers
+        ids, sizes = np.empty(0, "<u4"), np.empty(0, np.int64)
+        docs_held: list[pa.Array] = []
+
+        def written(stop: int) -> pa.RecordBatch:
+            """The first ``stop`` of the documents held, as a chunk."""
+            listed = pa.concat_arrays(docs_held)
+            n = int(sizes[:stop].sum())
+            docs_held[:] = [listed[stop:]]
             return pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array([shard], pa.int32()),
                     "chunk": pa.array([chunk], pa.int32()),
                     "start": pa.array([start], pa.int64()),
-                    "n_ids": pa.array([len(ids)], pa.int64()),
-                    "doc_ids": pa.array([[i for i, _ in held]], pa.list_(schema_ids)),
-                    "sizes": pa.array([[len(row) for _, row in held]], pa.list_(pa.int64())),
-                    "planes": pa.array([to_planes(ids)], pa.list_(pa.binary())),
+                    "n_ids": pa.array([n], pa.int64()),
+                    "doc_ids": pa.ListArray.from_arrays(pa.array([0, stop], pa.int32()), listed[:stop]),
+                    "sizes": pa.array([sizes[:stop]], pa.list_(pa.int64())),
+                    "planes": pa.array([to_planes(ids[:n])], pa.list_(pa.binary())),
                 }
             )
 
-        id_type = None
         for part, texts in blocks(batches, "text"):
-            id_type = part.schema.field("id").type
-            ids, at = encoder.encode(texts)
-            for i, doc in enumerate(part.column("id").to_pylist()):
-                row = np.append(ids[at[i] : at[i + 1]], np.uint32(end)).astype("<u4")
-                held.append((doc, row))
-                have += len(row)
-                if have >= CHUNK_IDS:
-                    yield flush(id_type)
-                    held, chunk, start, have = [], chunk + 1, start + have, 0
-        if held:
-            yield flush(id_type)
+            found, at = encoder.encode(texts)
+            docs_held.append(part.column("id"))
+            ids = np.concatenate([ids, np.insert(found, at[1:], end).astype("<u4")])
+            sizes = np.concatenate([sizes, np.diff(at) + 1])
+            while len(ids) >= CHUNK_IDS:
+                stop = int(np.searchsorted(np.cumsum(sizes), CHUNK_IDS, "left")) + 1
+                yield written(stop)
+                n = int(sizes[:stop].sum())
+                ids, sizes, chunk, start = ids[n:], sizes[stop:], chunk + 1, start + n
+        if len(sizes):
+            yield written(len(sizes))
 
     ordered = (
         docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
@@ -227,18 +230,16 @@ def write_tokens(
     ordered.mapInArrow(run, CHUNK.format(kind=kind)).write.option("compression", "none").parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
-    """id, ``start`` (ids of all documents before) and ``ids`` (little-endian unsigned
-    32-bit integers) of every document.
-
-    One row per shard, its number and size, passes through the driver.
-    """
-    chunks = spark.read.parquet(path)
-    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
+def _shard_starts(chunks: DataFrame) -> dict[int, int]:
+    """Ids before each shard. One row per shard, its number and size, passes through the driver."""
     totals = sorted(chunks.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect())
     before = np.concatenate([[0], np.cumsum([r.n for r in totals])]).tolist()
-    first = {r.shard: n for r, n in zip(totals, before, strict=False)}
-    shared = spark.sparkContext.broadcast(first)
+    return {r.shard: n for r, n in zip(totals, before, strict=False)}
+
+
+def _documents(chunks: DataFrame, first: dict[int, int], id_column: str) -> DataFrame:
+    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
+    shared = chunks.sparkSession.sparkContext.broadcast(first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,6 +265,42 @@ def read_tokens(spark: SparkSession, path: str, id_column: str = "doc_id") -> Da
     return found.withColumnRenamed("id", id_column)
 
 
+def read_tokens(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
+    """id, ``start`` (ids of all documents before) and ``ids`` (little-endian unsigned
+    32-bit integers) of every document."""
+    chunks = spark.read.parquet(path)
+    return _documents(chunks, _shard_starts(chunks), id_column)
+
+
+def chunks_of_range(spark: SparkSession, path: str, first: int, stop: int) -> tuple[DataFrame, dict[int, int]]:
+    """The chunks that hold ids ``first`` to ``stop - 1`` of the file, and the shards' starts.
+
+    The index alone says which: no planes are read for it, and the filter on shard and
+    start reaches the scan.
+    """
+    chunks = spark.read.parquet(path)
+    starts = _shard_starts(chunks)
+    low = max((s for s, n in starts.items() if n <= first), default=0)
+    high = max((s for s, n in starts.items() if n < stop), default=-1)
+    before = F.col("shard") < low
+    before |= (F.col("shard") == low) & (F.col("start") + F.col("n_ids") <= first - starts.get(low, 0))
+    after = (F.col("shard") > high) | ((F.col("shard") == high) & (F.col("start") >= stop - starts.get(high, 0)))
+    return chunks.filter(~before & ~after & F.lit(first < stop)), starts
+
+
+def read_range(spark: SparkSession, path: str, first: int, stop: int, id_column: str = "doc_id") -> DataFrame:
+    """Documents with ids at places ``first`` to ``stop - 1``, like ``read_tokens``, with the
+    ids of the range only. Chunks outside are not opened."""
+    found = _documents(*chunks_of_range(spark, path, first, stop), id_column)
+    begin = F.greatest("start", F.lit(first))
+    end = F.least(F.col("start") + (F.octet_length("ids") / 4).cast("long"), F.lit(stop))
+    return found.filter(begin < end).select(
+        id_column,
+        begin.alias("start"),
+        F.substring("ids", ((begin - F.col("start")) * 4 + 1).cast("int"), ((end - begin) * 4).cast("int")).alias("ids"),
+    )
+
+
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -10,8 +10,9 @@ the id (a documented bound; scoring reads everything). They are dealt in slices
 ``SLICE`` rows, each slice is fitted by one task, and the weights are averaged.
 
 Edge cases: a null or empty text has no features and gets the score of the bias alone.
-Rows with a null label or id are not learned from; of several labels of an id the
-largest counts, of several texts of an id any one is learned from. Without usable labels
+Rows with a null label or id are not learned from, and a null id counts as an empty one
+where ids deal rows to folds; of several labels of an id the largest counts, of several
+texts of an id the one with the smallest hash is learned from. Without usable labels
 every score is 0.5 and nothing is rejected. Repeated rows are scored one by one. Labels
 and other columns never enter a score.
 """
@@ -25,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickflow.llm.columns import apart
 from wickflow.llm.texts import LOWER, NOT_ALNUM, Texts, blocks, mixed, span_hashes, words
+from wickflow.session import scratch_path
 
 MAX_TRAINING = 16_384
 SLICE = 4_096
@@ -34,6 +37,7 @@ ALPHA, BETA, L1, L2 = 4.0, 1.0, 5.0, 0.01
 THRESHOLD = 0.7
 BIAS = -1
 SIEVE_BITS = 18
+BLOCK_BYTES = 1 << 20
 
 
 def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +54,7 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, texts in blocks(batches, "text"):
+    for part, texts in blocks(batches, "text", BLOCK_BYTES):
         owner, feature = features(texts)
         pairs = np.unique(owner << 32 | feature)
         own = [row.astype(np.uint32).tobytes() for row in np.split(pairs, np.searchsorted(pairs >> 32, np.arange(1, len(texts))))]
@@ -90,11 +94,12 @@ def _fit(table: pa.Table) -> pa.Table:
 
 def fit(labelled: DataFrame, text: str, label: str, id_column: str) -> tuple[np.ndarray, np.ndarray]:
     """Features in ascending order and their weights, fitted to at most ``MAX_TRAINING`` rows."""
-    rows = labelled.select(
+    path = scratch_path(labelled.sparkSession, "labelled")
+    labelled.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")
-    )
-    count = rows.count()
-    slices = max(1, -(-count // SLICE))
+    ).write.parquet(path)  # so that documents are read once
+    rows = labelled.sparkSession.read.parquet(path)
+    slices = max(1, -(-rows.count() // SLICE))
     sliced = rows.select(
         F.pmod(F.xxhash64("id", F.lit(7)), F.lit(slices)).cast("int").alias("slice"),
         F.xxhash64("id").alias("turn"),
@@ -126,8 +131,9 @@ def labelled_sample(
         .orderBy(F.xxhash64(id_column), id_column)
         .limit(MAX_TRAINING)
     )
-    own = docs.select(F.col(id_column), F.col(text).alias("text"))
-    return own.join(F.broadcast(chosen), id_column).dropDuplicates([id_column])
+    own = docs.select(F.col(id_column), F.col(text).alias("text")).join(F.broadcast(chosen), id_column)
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).getField("text")
+    return own.groupBy(id_column).agg(F.max("label").alias("label"), first.alias("text"))
 
 
 def scorer(known: np.ndarray, weights: np.ndarray):
@@ -151,23 +157,27 @@ def scorer(known: np.ndarray, weights: np.ndarray):
     return score
 
 
-def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """All columns of the rows, as the struct ``row``, and ``score``."""
+def score_documents(
+    docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text", columns: list[str] | None = None
+) -> DataFrame:
+    """``columns`` of the rows (default: all), as the struct ``row``, and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    packed, row = apart(docs, text, columns)
+    back = [c for c in ("rest", "text") if c == "rest" or columns is None or text in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(*shared.value)
-        for part, texts in blocks(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), pa.array(score(texts), pa.float64())], ["row", "score"]
-            )
+        for part, texts in blocks(batches, "text", BLOCK_BYTES):
+            scores = pa.array(score(texts), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in back), scores], [*back, "score"])
 
-    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, score double")
+    kinds = [f"{c} {packed.schema[c].dataType.simpleString()}" for c in back]
+    return packed.mapInArrow(run, ", ".join([*kinds, "score double"])).select(row.alias("row"), "score")
 
 
 def fold(id_column: str, folds: int) -> Column:
-    return F.crc32(F.col(id_column).cast("string")) % folds
+    """The remainder that deals a row to a fold; a null id counts as an empty one."""
+    return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> tuple[np
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = score_documents(docs, model)
+    scored = score_documents(docs, model, columns=["doc_id"])
     return scored.select(
         "row.doc_id",
         (fold("row.doc_id", 3) == 1).alias("held_out"),
