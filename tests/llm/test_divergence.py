@@ -81,6 +81,7 @@ def corpus():
 def test_divergence_agrees_with_brute_force(spark, monkeypatch, small):
     if small:  # several shards, rounds and blocks, and dense slots handed on early
         monkeypatch.setattr(divergence, "SHARD_TERMS", 7)
+        monkeypatch.setattr(divergence, "MATRIX", 60)
         monkeypatch.setattr(divergence, "ROUND_BYTES", 500)
     docs = spark.createDataFrame(corpus(), SCHEMA)
     found = sorted(tuple(r) for r in divergence.divergence(docs, least=5, top=7).collect())

@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from wickflow.llm.texts import LOWER, Texts, blocks, mixed, ragged_take, span_hashes, words
 from wickflow.session import scratch_path
 
-TERMS = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER_CASE, LOWER_CASE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST = 30
 SCALE, PRIOR = 1_000_000_000, 5
 TOP = 50
 
-SHARD_TERMS = 4_096
+SHARD_TERMS = 1 << 16
+BLOCK_TERMS = 4_096
 ROUND_BYTES = 64 << 20
 DENSE_BYTES = 128 << 20
 MATRIX = 4 << 20  # terms x sources of a block
@@ -195,7 +195,7 @@ def _recounted(shared, parts: int):
                     )
             dense.clear()
 
-        for batch, texts in blocks(batches, "text", 1 << 20):
+        for batch, texts in blocks(batches, "text"):
             starts, ends, first = words(texts, NOT_TERM)
             data = LOWER[texts.data]
             hashes = span_hashes(data, starts, ends)
@@ -247,13 +247,44 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each language and term in a block of texts."""
+    for batch, texts in blocks(batches, "text"):
+        starts, ends, first = words(texts, NOT_TERM)
+        data = LOWER[texts.data]
+        distinct, example, which = np.unique(
+            span_hashes(data, starts, ends), return_index=True, return_inverse=True
+        )
+        doc = np.repeat(np.arange(len(texts)), np.diff(first))
+        own = np.unique(doc * len(distinct) + which)
+        names, lang = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
+        cell = lang[own // max(1, len(distinct))] * len(distinct) + own % max(1, len(distinct))
+        cell, n = np.unique(cell, return_counts=True)
+        at = example[cell % max(1, len(distinct))]
+        spans = np.stack([starts, ends], axis=1).ravel()
+        flat, bounds = ragged_take(data, spans, 2 * at)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.string()).take(pa.array(cell // max(1, len(distinct)))),
+                pa.StringArray.from_buffers(
+                    len(at), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))
+                ),
+                pa.array(n, pa.int64()),
+            ],
+            ["lang", "term", "n"],
+        )
+
+
 def kept_terms(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """lang and term of the terms in at least ``least`` documents; ``docs`` has text, lang
     and source without nulls."""
-    lowered = F.translate("text", UPPER_CASE, LOWER_CASE)
-    terms = F.array_distinct(F.regexp_extract_all(lowered, F.lit(TERMS), F.lit(0)))
-    each = docs.select("lang", F.explode(terms).alias("term"))
-    return each.groupBy("lang", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("lang", "term")
+    counted = docs.select("text", "lang").mapInArrow(_document_counts, "lang string, term string, n bigint")
+    return (
+        counted.groupBy("lang", "term")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") >= least)
+        .select("lang", "term")
+    )
 
 
 def perfect_hashes(kept: DataFrame) -> tuple[DataFrame, int]:
@@ -328,7 +359,7 @@ def divergence(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame
 
     # pairs
     most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
-    width = max(16, min(SHARD_TERMS, MATRIX // most))
+    width = max(16, min(BLOCK_TERMS, MATRIX // most))
     block = [*slot[:2], "block"]
     shares = counts.join(small(with_terms), group).select(
         *slot, "source", "n", share(F.col("n"), F.col("total"), F.col("v")).alias("p")
