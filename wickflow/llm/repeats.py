@@ -50,7 +50,7 @@ GRAM = 64
 REACH = WINDOW - GRAM  # bytes of a string before its anchor, at most
 # Phrase bounds are anchors of the same kind, chosen among PICK starts.
 PHRASE_GRAM = 8
-PICK = 57
+PICK = 93
 INNER = PICK + PHRASE_GRAM - 1
 
 PIECE = 1 << 20
