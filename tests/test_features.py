@@ -5,8 +5,11 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import Window
+
 from wickflow.operators import features as ft
-from wickflow.operators.sequence import Limits
+from wickflow.operators import states
+from wickflow.operators.sequence import ORDER, Limits
 from wickflow.schemas import FEATURES, FEATURE_SPANS
 
 from conftest import series
@@ -143,19 +146,62 @@ def test_split_emas_alone(frame):
     assert_close(split[["ema_60"]], pandas_ema(rows, (60,))[["ema_60"]])
 
 
-def test_candles_without_a_close_are_left_out_on_both_sides_of_the_limit(frame):
+def holed(rows, seed, head=3):
+    """The rows with closes missing, as NULL or NaN: the first ones, single ones and runs."""
     from pyspark.sql import functions as F
 
-    rows = frame(series("A", walk(31, 1300)))
-    nth = F.unix_timestamp("candle_close_time") / 60
-    holed = rows.withColumn("close", F.when(nth.cast("long") % 97 == 0, F.lit(None)).when(
-        nth.cast("long") % 89 == 0, F.lit(math.nan)).otherwise(F.col("close")))
-    whole, split = (collected(ft.ema(holed, limits=x), "candle_close_time") for x in (Limits(), SPLIT))
-    assert 1200 < len(whole) == len(split) < 1300
-    for n in FEATURE_SPANS:
-        expected = whole.close.ewm(span=n, adjust=False).mean()
-        np.testing.assert_allclose(whole[f"ema_{n}"], expected, rtol=1e-9)
-        np.testing.assert_allclose(split[f"ema_{n}"], expected, rtol=1e-9)
+    nth = (F.unix_timestamp("candle_close_time") / 60).cast("long") % 1_000_000
+    first = F.min(nth).over(Window.partitionBy("symbol"))
+    gone = (nth - first < head) | (F.pmod(F.hash(nth, F.lit(seed)), F.lit(9)) == 0) | (F.pmod(nth, F.lit(131)) < 40)
+    lost = F.when(nth % 2 == 0, F.lit(None)).otherwise(F.lit(math.nan))
+    return rows.withColumn("close", F.when(gone, lost).otherwise(F.col("close")))
+
+
+@pytest.mark.parametrize("limits", [Limits(), SPLIT])
+def test_a_missing_close_keeps_its_row_in_every_feature(frame, limits):
+    rows = holed(frame(series("A", walk(31, 1300)) + series("B", walk(32, 40))), 1)
+    whole = collected(ft.features(rows, limits))
+    assert len(whole) == 1340 and whole.close.isna().sum() > 300
+    for symbol in "AB":
+        own = whole[whole.symbol == symbol].reset_index(drop=True)
+        assert_close(own, brute_force(own.close))
+    for call, names in (
+        (ft.returns, ["log_return_1", "return_5"]),
+        (ft.moving_averages, [f"ma_{n}" for n in FEATURE_SPANS]),
+        (ft.volatility, [f"vol_{n}" for n in FEATURE_SPANS]),
+        (ft.rsi, ["rsi_14"]),
+        (ft.ema, [f"ema_{n}" for n in FEATURE_SPANS]),
+    ):
+        assert_close(collected(call(rows, limits=limits), "candle_close_time"), whole[names])
+
+
+def test_a_symbol_without_any_close(frame):
+    rows = holed(frame(series("A", walk(33, 20))), 1, head=20)
+    got = collected(ft.features(rows))
+    assert len(got) == 20 and got[["ema_5", "ma_5", "vol_5"]].isna().all().all()
+
+
+@pytest.mark.parametrize("runs", [1, 7, 61, 600])
+def test_states_compose_to_the_same_emas(spark, frame, monkeypatch, runs):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(states, "FAN", 4)
+    closes = walk(34, 600)
+    rows = holed(frame(series("A", closes)), 2).select("symbol", "candle_close_time", states.known_close().alias("close"))
+    minute = ((F.unix_timestamp("candle_close_time") - 1704067200) / 60).cast("long")
+    rows = rows.withColumn("run", F.floor(minute * runs / 600).cast("long"))
+    of_runs = states.summaries(rows, ["symbol", "run"], ORDER, (5, 60), 61)
+    before = states.exclusive_prefixes(of_runs, "run", runs, (5, 60), 61).orderBy("run").collect()
+    table = rows.orderBy("candle_close_time").toPandas()
+    assert len(before) == runs
+    for row in before:
+        past = table[table.run < row.run].close
+        assert row.before.n == len(past) and row.before.closes == [
+            None if math.isnan(c) else c for c in past[::-1][:61]]
+        if past.notna().any():
+            for s in (5, 60):
+                ended = row.before[f"held_{s}"] * row.before.first_close + row.before[f"added_{s}"]
+                assert math.isclose(ended, past.ewm(span=s, adjust=False).mean().iloc[-1], rel_tol=1e-9)
 
 
 def test_split_keeps_rows_without_a_symbol(frame):
@@ -196,6 +242,9 @@ def test_snapshot_equals_all_features_of_the_lookback(frame):
     whole = ft.features(slice_lookback(raw, "2024-01-04", 3)).filter("to_date(ts) = '2024-01-04'")
     expected = collected(whole)
     assert sorted(expected.symbol.unique()) == ["LONG", "NEW", "SHORT"]
+    assert_close(collected(ft.feature_snapshot(holed(raw, 3), "2024-01-04", 3)), collected(
+        ft.features(slice_lookback(holed(raw, 3), "2024-01-04", 3)).filter("to_date(ts) = '2024-01-04'")
+    ).drop(columns=["symbol", "ts"]))
     for limits in (Limits(), SPLIT):
         got = collected(ft.feature_snapshot(raw, "2024-01-04", 3, limits=limits))
         assert list(got.ts) == list(expected.ts) and list(got.symbol) == list(expected.symbol)

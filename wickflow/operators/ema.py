@@ -13,6 +13,11 @@ end when the reach covers the longest partition, or when all that is older could
 not change the last bit of the sum: closes are positive, so the sum is at least
 the smallest close, and older rows add at most ``decay ** reach`` times the
 largest. Only positive powers occur, so nothing overflows.
+
+Where closes are missing, weights differ from row to row (see ``states``), and rounds
+carry the product of the rows' weights along (``gap_layers``). They give the map from the
+EMA at the partition's first close to each row, so ``finished`` can start it there or from
+what a state left. With none missing both ways give the same.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.operators.layers import Layers, double, lag
@@ -97,81 +102,73 @@ def _round(span: int, reach: int) -> str:
     return " + ".join([column(span), *earlier])
 
 
-def chunk_carries(
-    chunks: DataFrame, names: ChunkColumns, spans: Iterable[int], most_chunks: int
-) -> DataFrame:
-    """Per (symbol, chunk), the EMAs at the end of the symbol's chunk before.
-
-    A chunk maps the EMA before it to the one at its end by
-    ``ended + held * before``; such maps are composed over all earlier chunks by
-    doubling. The first chunk of a symbol starts from the symbol's first close,
-    which leaves that close as the first EMA. ``most_chunks`` bounds the chunks
-    of one symbol.
-    """
+def gap_layers(spans: Iterable[int], most_rows: int) -> Layers:
+    """Maps of EMAs where closes may be missing: ``held`` and ``ema`` of each span, and the
+    place and value of the partition's first close, for ``finished``."""
     spans = tuple(spans)
-    rows_after = F.col(names.size) - F.col(names.place)
-    ends = chunks.groupBy("symbol", names.chunk).agg(
-        F.min_by("close", names.row).alias("seed"),
-        F.max(names.place).alias("n"),
-        *(
-            F.sum(alpha(s) * F.col("close") * F.pow(F.lit(decay(s)), rows_after)).alias(
-                f"ended_{s}"
-            )
-            for s in spans
-        ),
-    )
-    by_symbol = Window.partitionBy("symbol").orderBy(names.chunk)
-    is_first = F.row_number().over(by_symbol) == 1
-    steps = ends.withColumn("is_first", is_first)
-    steps = steps.withColumns({f"held_{s}": F.pow(F.lit(decay(s)), F.col("n")) for s in spans})
-    steps = steps.withColumns(
+    if not spans:
+        return []
+    so_far = "OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    layers: Layers = [
+        {"_seen": "CASE WHEN close IS NOT NULL THEN row_number() OVER ({w}) END"},
         {
-            f"ended_{s}": F.col(f"ended_{s}")
-            + F.when(F.col("is_first"), F.col(f"held_{s}") * F.col("seed")).otherwise(0.0)
-            for s in spans
-        }
-        | {
-            f"held_{s}": F.when(F.col("is_first"), 0.0).otherwise(F.col(f"held_{s}"))
-            for s in spans
-        }
-    )
-    reach = 1
-    while reach < most_chunks:
-        before = {
-            name: F.lag(name, reach, 0.0).over(by_symbol)
-            for s in spans
-            for name in (f"ended_{s}", f"held_{s}")
-        }
-        steps = steps.withColumns(
-            {
-                f"ended_{s}": F.col(f"ended_{s}") + F.col(f"held_{s}") * before[f"ended_{s}"]
-                for s in spans
-            }
-            | {f"held_{s}": F.col(f"held_{s}") * before[f"held_{s}"] for s in spans}
+            "_before": "max(_seen) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+            "first_place": f"min(_seen) {so_far}",
+            "first_close": f"first_value(close) IGNORE NULLS {so_far}",
+        },
+    ]
+    start: dict[str, str] = {}
+    for s in spans:
+        old = f"power({double(decay(s))}, _seen - _before)"
+        new = double(alpha(s))
+        start[f"held_{s}"] = (
+            f"CASE WHEN _before IS NULL OR _seen IS NULL THEN 1D WHEN _seen - _before = 1 THEN {double(decay(s))}"
+            f" ELSE {old} / ({old} + {new}) END"
         )
-        reach *= 2
-    return steps.select(
-        "symbol",
-        names.chunk,
-        *(
-            F.when(F.col("is_first"), F.col("seed"))
-            .otherwise(F.lag(f"ended_{s}").over(by_symbol))
-            .alias(f"carry_{s}")
-            for s in spans
-        ),
-    )
+        start[column(s)] = (
+            f"CASE WHEN _before IS NULL OR _seen IS NULL THEN 0D WHEN _seen - _before = 1 THEN {new} * close"
+            f" ELSE {new} / ({old} + {new}) * close END"
+        )
+    layers.append(start)
+    reach = 1
+    while reach < most_rows:
+        lags: dict[str, str] = {}
+        rounds: dict[str, str] = {}
+        for s in spans:
+            held, added = [f"held_{s}"], []
+            for k in range(1, RADIX):
+                lags[f"_held_{s}_{k}"] = lag(f"held_{s}", k * reach, "1D")
+                lags[f"_ema_{s}_{k}"] = lag(column(s), k * reach, "0D")
+                added.append(f"{' * '.join(held)} * _ema_{s}_{k}")
+                held.append(f"_held_{s}_{k}")
+            rounds[column(s)] = " + ".join([column(s), *added])
+            rounds[f"held_{s}"] = " * ".join(held)
+        layers += [lags, rounds]
+        reach *= RADIX
+    return layers
 
 
-def add_carries(
-    rows: DataFrame, carries: DataFrame, names: ChunkColumns, spans: Iterable[int]
-) -> DataFrame:
-    """Completes unseeded EMAs with what the chunks before contribute."""
+def finished(rows: DataFrame, spans: Iterable[int], before: str | None = None) -> DataFrame:
+    """Rows of ``gap_layers`` with their EMAs, after what the state in column ``before``
+    tells of the rows that precede, if there is one."""
     spans = tuple(spans)
     if not spans:
-        return rows
-    keyed = carries.withColumnRenamed("symbol", "_of").withColumnRenamed(names.chunk, "_chunk")
-    same = F.col("symbol").eqNullSafe(F.col("_of")) & (F.col(names.chunk) == F.col("_chunk"))
-    return apply_carries(rows.join(keyed, same).drop("_of", "_chunk"), spans, names.place)
+        return rows if before is None else rows.drop(before)
+    values = {}
+    for s in spans:
+        own = f"held_{s} * first_close + {column(s)}"
+        if before is None:
+            values[column(s)] = F.expr(own)
+            continue
+        old = f"{before}.held_{s} * {before}.first_close + {before}.added_{s}"
+        kept = f"power({double(decay(s))}, {before}.trail + first_place)"
+        w = f"({kept} / ({kept} + {double(alpha(s))}))"
+        values[column(s)] = F.expr(
+            f"CASE WHEN {before}.first IS NULL THEN {own} WHEN first_place IS NULL THEN {old}"
+            f" ELSE held_{s} * ({w} * ({old}) + (1 - {w}) * first_close) + {column(s)} END"
+        )
+    gone = [*(f"held_{s}" for s in spans), "first_place", "first_close", *([before] if before else [])]
+    return rows.withColumns(values).drop(*gone)
 
 
 def apply_carries(rows: DataFrame, spans: Iterable[int], place: str) -> DataFrame:

@@ -10,13 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickflow.functions.calendar import parse_date
-from wickflow.operators.ema import apply_carries, carried_over, ema_layers
+from wickflow.operators.ema import apply_carries, carried_over, ema_layers, finished, gap_layers
 from wickflow.operators.layers import Layers, add_layers, lag, trailing
 from wickflow.operators.sequence import ORDER, Limits, measure, over_symbol_rows
+from wickflow.operators.states import known_close, summaries
 from wickflow.schemas import FEATURE_SPANS, FEATURES, RSI_ROWS
 from wickflow.sources.raw import slice_lookback
 
@@ -151,32 +152,32 @@ def add_calendar(rows: DataFrame) -> DataFrame:
     )
 
 
-def _with_close(candles: DataFrame) -> DataFrame:
-    """The inputs of candles that have a close. One without, NULL or NaN, is left out
-    before any size is looked at, so EMAs do not depend on the limits."""
-    return candles.select(*INPUTS).filter("close IS NOT NULL AND NOT isnan(close)")
+def _inputs(candles: DataFrame) -> DataFrame:
+    """The inputs of all candles. A missing close is NULL, in whatever form it came: its row
+    stays, frames skip it as a value and count it as a row, and EMAs go on over it."""
+    return candles.select(*INPUTS).withColumn("close", known_close())
 
 
 def returns(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), [return_layers()], FRAME_ROWS, limits=limits)
+    return over_symbol_rows(_inputs(candles), [return_layers()], FRAME_ROWS, limits=limits)
 
 
 def moving_averages(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), [mean_layers()], FRAME_ROWS, limits=limits)
+    return over_symbol_rows(_inputs(candles), [mean_layers()], FRAME_ROWS, limits=limits)
 
 
 def volatility(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), [volatility_layers()], FRAME_ROWS, limits=limits)
+    return over_symbol_rows(_inputs(candles), [volatility_layers()], FRAME_ROWS, limits=limits)
 
 
 def rsi(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    return over_symbol_rows(candles.select(*INPUTS), [rsi_layers()], FRAME_ROWS, limits=limits)
+    return over_symbol_rows(_inputs(candles), [rsi_layers()], FRAME_ROWS, limits=limits)
 
 
 def ema(
     candles: DataFrame, spans: Iterable[int] = FEATURE_SPANS, limits: Limits = Limits()
 ) -> DataFrame:
-    return over_symbol_rows(_with_close(candles), spans=spans, limits=limits)
+    return over_symbol_rows(_inputs(candles), spans=spans, limits=limits)
 
 
 def feature_layers() -> list[Layers]:
@@ -186,7 +187,7 @@ def feature_layers() -> list[Layers]:
 def features(candles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """All 20 feature columns for every candle, the first one seeding the EMAs."""
     rows = over_symbol_rows(
-        _with_close(candles), feature_layers(), FRAME_ROWS, FEATURE_SPANS, limits
+        _inputs(candles), feature_layers(), FRAME_ROWS, FEATURE_SPANS, limits
     )
     return _feature_table(rows)
 
@@ -214,17 +215,18 @@ def feature_snapshot(
     last rows are kept, those that the frames of the date reach into, so most
     window functions see little more than the date itself.
     """
-    lookback = _with_close(slice_lookback(raw, date, lookback_days, symbols))
-    midnight = dt.datetime.combine(parse_date(date), dt.time(), dt.timezone.utc)
-    start, end = F.lit(midnight), F.lit(midnight + dt.timedelta(days=1))
-
+    lookback = _inputs(slice_lookback(raw, date, lookback_days, symbols))
+    start, end = _bounds(date)
     sizes = measure(lookback, closes=True)
+    closed = F.col("candle_close_time")
     if sizes.largest > limits.symbol_rows:
         rows = features(lookback, limits)
         return rows.filter((F.col("ts") >= start) & (F.col("ts") < end))
 
-    closed = F.col("candle_close_time")
     rows = lookback.filter(closed < end).withColumn("_today", closed >= start)
+    if sizes.missing:
+        earlier = summaries(rows.filter("NOT _today"), ["symbol"], ORDER, FEATURE_SPANS, FRAME_ROWS)
+        return features_after(rows.filter("_today"), earlier.select("symbol", "state"), sizes.largest)
     by_part = "PARTITION BY symbol, _today"
     in_part = f"{by_part} ORDER BY candle_close_time, close"
     in_symbol = "PARTITION BY symbol ORDER BY _today, candle_close_time, close"
@@ -241,3 +243,33 @@ def feature_snapshot(
     rows = add_layers(rows, in_part, emas)
     rows = add_layers(rows, in_symbol, *feature_layers()).filter("_today")
     return _feature_table(apply_carries(rows, FEATURE_SPANS, "_place"))
+
+
+def _bounds(date: dt.date | str) -> tuple[Column, Column]:
+    """The instants at which a UTC date starts and ends."""
+    midnight = dt.datetime.combine(parse_date(date), dt.time(), dt.timezone.utc)
+    return F.lit(midnight), F.lit(midnight + dt.timedelta(days=1))
+
+
+def features_after(rows: DataFrame, earlier: DataFrame, most_rows: int) -> DataFrame:
+    """Features of ``rows`` (the inputs), given the state of each symbol's earlier rows.
+
+    ``earlier`` has a row per symbol. The last closes it holds stand in for the rows that
+    frames reach into; ``most_rows`` bounds the rows of one symbol.
+    """
+    given = earlier.select(F.col("symbol").alias("_of"), F.col("state").alias("before"))
+    past = earlier.select("symbol", F.posexplode("state.closes").alias("_back", "close"))
+    rows = rows.select(*INPUTS).withColumns({"_today": F.lit(True), "_back": F.lit(0)}).unionByName(
+        past.select(
+            "symbol",
+            F.lit(None).cast("timestamp").alias("candle_close_time"),
+            "close",
+            F.lit(False).alias("_today"),
+            F.col("_back"),
+        )
+    )
+    in_symbol = "PARTITION BY symbol ORDER BY _today, _back DESC, candle_close_time, close"
+    rows = add_layers(rows, in_symbol, *feature_layers()).filter("_today").drop("_today", "_back")
+    rows = add_layers(rows, "PARTITION BY symbol ORDER BY candle_close_time, close", gap_layers(FEATURE_SPANS, most_rows))
+    rows = rows.join(given, F.col("symbol").eqNullSafe(F.col("_of")), "left").drop("_of")
+    return _feature_table(finished(rows, FEATURE_SPANS, "before"))

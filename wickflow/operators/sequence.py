@@ -14,8 +14,9 @@ first; beyond ``Limits.symbol_rows`` the sequence is split:
    of every chunk followed by the first rows of the next are contiguous. This is
    the same problem on a small fraction of the rows, so it is solved by the same
    function.
-4. An EMA needs all earlier rows, but only through one number per chunk, its
-   value at the end of the chunk before. See ``wickflow.operators.ema``.
+4. An EMA needs all earlier rows, but only through what they leave at the end of the
+   chunk before. Chunks are summed up and composed in a tree, so no task holds all
+   chunks of a symbol. See ``wickflow.operators.states``.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickflow.operators.ema import ChunkColumns, add_carries, chunk_carries, ema_layers
+from wickflow.operators.ema import ChunkColumns, ema_layers, finished, gap_layers
 from wickflow.operators.layers import Layers, add_layers
+from wickflow.operators.states import exclusive_prefixes, summaries
 from wickflow.session import scratch_path
 
 # Ties on the close time are ordered by the close itself, the only other column
@@ -50,11 +52,13 @@ class Limits:
 
 
 class Sizes(NamedTuple):
-    """Rows of the largest symbol, rows in all, largest ratio of two closes."""
+    """Rows of the largest symbol, rows in all, largest ratio of two closes, and whether
+    closes are missing (False if closes were not looked at)."""
 
     largest: int
     total: int
     spread: float
+    missing: bool
 
 
 def measure(candles: DataFrame, closes: bool = False) -> Sizes:
@@ -64,17 +68,18 @@ def measure(candles: DataFrame, closes: bool = False) -> Sizes:
     """
     per_symbol = candles.groupBy("symbol").agg(
         F.count("*").alias("n"),
-        *([F.min("close").alias("low"), F.max("close").alias("high")] if closes else []),
+        *([F.min("close").alias("low"), F.max("close").alias("high"), F.count("close").alias("known")] if closes else []),
     )
     found = per_symbol.agg(
         F.max("n").alias("largest"),
         F.sum("n").alias("total"),
-        *([F.min("low").alias("low"), F.max("high").alias("high")] if closes else []),
+        *([F.min("low").alias("low"), F.max("high").alias("high"), F.sum("known").alias("known")] if closes else []),
     ).first()
     spread = math.inf
     if closes and found.low is not None and 0.0 < found.low <= found.high < math.inf:
         spread = found.high / found.low
-    return Sizes(found.largest or 0, found.total or 0, spread)
+    missing = closes and (found.known or 0) < (found.total or 0)
+    return Sizes(found.largest or 0, found.total or 0, spread, missing)
 
 
 def over_symbol_rows(
@@ -97,6 +102,8 @@ def _by_symbol(candles, features, frame_rows, spans, limits, order, level) -> Da
     if sizes.largest > limits.symbol_rows:
         return _by_chunk(candles, features, frame_rows, spans, limits, order, level, sizes)
     window = f"PARTITION BY symbol ORDER BY {', '.join(order)}"
+    if sizes.missing:
+        return finished(add_layers(candles, window, gap_layers(spans, sizes.largest), *features), spans)
     emas = ema_layers(spans, sizes.largest, sizes.spread, seeded=True)
     return add_layers(candles, window, emas, *features)
 
@@ -115,16 +122,19 @@ def _by_chunk(candles, features, frame_rows, spans, limits, order, level, sizes)
             names.size: F.expr(f"count(*) OVER ({by_chunk})"),
         }
     )
-    # A range partition ends its last chunk early, hence one more per partition.
-    carries = chunk_carries(
-        chunks, names, spans, sizes.total // limits.chunk_rows + 2 * partitions
-    )
-
-    emas = ema_layers(spans, limits.chunk_rows, sizes.spread, seeded=False)
+    emas = gap_layers(spans, limits.chunk_rows)
 
     def carried(rows: DataFrame) -> DataFrame:
-        return add_carries(rows, carries, names, spans).drop(*names)
-
+        if spans:
+            given = before.withColumnsRenamed({"symbol": "_of", names.chunk: "_chunk"})
+            same = F.col("symbol").eqNullSafe(F.col("_of")) & (F.col(names.chunk) == F.col("_chunk"))
+            rows = finished(rows.join(given, same).drop("_of", "_chunk"), spans, "before")
+        return rows.drop(*names)
+
+    if spans:
+        runs = summaries(chunks, ["symbol", names.chunk], [names.row], spans, tail=0)
+        most = partitions * (1 << 33) // limits.chunk_rows
+        before = exclusive_prefixes(runs, names.chunk, most, spans, tail=0)
     inner = add_layers(chunks, window, emas, *features)
     if not features:
         return carried(inner)
