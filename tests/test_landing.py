@@ -137,7 +137,7 @@ def test_index_of_an_older_table_and_merging(spark, frame, tmp_path):
     for day in ("01", "02"):
         landing.append_raw(frame(series("BTCUSDT", [1, 2], start=f"2024-01-{day}T00:00:00")), raw)
     def held():
-        return sorted(map(tuple, index.partition_index(spark, raw).collect()))
+        return sorted(tuple(r)[:-1] for r in index.partition_index(spark, raw).collect())  # not when it changed
 
     before = held()
     shutil.rmtree(f"{raw}/_partitions")

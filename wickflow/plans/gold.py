@@ -15,6 +15,7 @@ from wickflow.operators.features import feature_snapshot
 from wickflow.operators.ohlc import ohlc
 from wickflow.operators.partitions import next_gold_date
 from wickflow.operators.sequence import Limits
+from wickflow.plans.daystates import snapshot_from_states
 from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
 from wickflow.session import configure, scratch_path
 from wickflow.sources.index import partition_index
@@ -50,10 +51,11 @@ def gold_tables(
     symbols: Iterable[str],
     lookback_days: int = LOOKBACK_DAYS,
     limits: Limits = Limits(),
+    features: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The four tables for ``date``, all symbols in one plan each.
 
-    Fails when a symbol has no raw rows in the day, the month or the lookback.
+    ``features`` is given where they come from stored states. Fails when a symbol has no raw rows in the day, the month or the lookback.
     The month and the lookback both hold the day, so the day decides.
     """
     symbols = list(symbols)
@@ -64,7 +66,7 @@ def gold_tables(
         "hourly_ohlc": ohlc(day, "hour"),
         "daily_ohlc": ohlc(day, "day"),
         "monthly_ohlc": ohlc(month, "month"),
-        "features": feature_snapshot(raw, date, lookback_days, symbols, limits),
+        "features": feature_snapshot(raw, date, lookback_days, symbols, limits) if features is None else features,
     }
 
 
@@ -133,11 +135,15 @@ def gold_run(
     lookback_days: int = LOOKBACK_DAYS,
     limits: Limits = Limits(),
 ) -> dict[str, int]:
-    """Computes and publishes all gold tables for one date; rows per table."""
+    """Computes and publishes all gold tables for one date; rows per table.
+
+    Of the lookback only days that changed since the last run are read again.
+    """
     configure(spark)
     symbols = list(symbols)
     raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
-    tables = gold_tables(raw, date, symbols, lookback_days, limits)
+    features = snapshot_from_states(spark, raw_path, date, exchange, lookback_days, symbols, limits)
+    tables = gold_tables(raw, date, symbols, lookback_days, limits, features)
     return publish(tables, gold_path, date, exchange, symbols)
 
 

@@ -62,29 +62,41 @@ def all_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENTRIES).parquet(f"{path}/{FOLDER}")
 
 
-def live_entries(spark: SparkSession, path: str) -> DataFrame:
-    """The latest entry of each partition and batch that has rows."""
+def latest_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The latest entry of each partition and batch, also of those whose rows are gone."""
     found = all_entries(spark, path)
     others = [c for c in found.columns if c not in BATCH]
     latest = F.max_by(F.struct(*others), F.struct("written", "write")).alias("latest")
-    return found.groupBy(*BATCH).agg(latest).select(*BATCH, "latest.*").filter("n_rows > 0")
+    return found.groupBy(*BATCH).agg(latest).select(*BATCH, "latest.*")
+
+
+def live_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The latest entry of each partition and batch that has rows."""
+    return latest_entries(spark, path).filter("n_rows > 0")
 
 
 def partition_index(spark: SparkSession, path: str) -> DataFrame:
-    """exchange, symbol, date, n_rows, n_batches, first_start, last_close_time, last_close.
+    """exchange, symbol, date, n_rows, n_batches, first_start, last_close_time, last_close, and
+    when it ``changed``, of each partition that has rows.
 
     A table that has rows but no index is read once instead.
     """
     if has_index(spark, path) or not path_exists(spark, path):
-        found = live_entries(spark, path)
+        found = latest_entries(spark, path)
     else:
         found = entries(raw_table(spark, path).withColumn("batch", F.lit("")))
-    return found.groupBy(*RAW_PARTITIONS).agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.countDistinct("batch").alias("n_batches"),
-        F.min("first_start").alias("first_start"),
-        F.max("last_close_time").alias("last_close_time"),
-        F.max_by("last_close", "last_close_time").alias("last_close"),
+    held = F.col("n_rows") > 0
+    return (
+        found.groupBy(*RAW_PARTITIONS)
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.count_if(held).alias("n_batches"),
+            F.min(F.when(held, F.col("first_start"))).alias("first_start"),
+            F.max(F.when(held, F.col("last_close_time"))).alias("last_close_time"),
+            F.max_by(F.when(held, F.col("last_close")), F.when(held, F.col("last_close_time"))).alias("last_close"),
+            F.max("written").alias("changed"),
+        )
+        .filter("n_rows > 0")
     )
 
 
@@ -105,6 +117,6 @@ def compact_index(spark: SparkSession, path: str) -> None:
     """Writes the live entries of all writes as those of one. Readers meanwhile see entries
     twice, which changes nothing."""
     merged = [r.write for r in all_entries(spark, path).select("write").distinct().collect()]
-    record(live_entries(spark, path).drop("write"), path, f"merged-{uuid.uuid4().hex}")
+    record(latest_entries(spark, path).drop("write"), path, f"merged-{uuid.uuid4().hex}")
     for write in merged:
         remove_path(spark, f"{path}/{FOLDER}/write={write}")
