@@ -15,7 +15,8 @@ so that it can lie in any store Spark writes to and a lost task is simply writte
 
 Ids come from the tokenizers library. A text is cut where its pre-tokenizer always cuts
 (white space, ASCII letters against punctuation); the pieces of a block are encoded once
-each and remembered by their hash, up to ``CACHED`` of them in a worker. Texts with white
+each and remembered by their hash, up to ``CACHED`` of them in a worker, of which those
+met last stay. Texts with white
 space beyond ASCII, control characters or ``<|`` are encoded whole.
 
 Edge cases: a null or empty text has the end id alone. Rows with one id follow each other
@@ -43,6 +44,7 @@ from wickflow.session import scratch_path
 CHUNK_IDS = 1 << 18
 BLOCK_IDS = 1 << 13
 CACHED = 600_000
+TOGETHER = 1_000
 END = 2
 LEVEL = 3
 
@@ -101,11 +103,35 @@ class Encoder:
     def __init__(self, model: bytes):
         self.tokenizer = Tokenizer.from_buffer(model)
         self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+        self.line_break = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4")
 
     def _encode(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, many to a text. Pieces that are not white themselves hold no line
+        break, and the pre-tokenizer cuts a single one off on both sides."""
+        out: list[bytes] = [b""] * len(pieces)
+        alone = [i for i, piece in enumerate(pieces) if piece.isspace()]
+        joined = [i for i, piece in enumerate(pieces) if not piece.isspace()]
+        groups = [joined[k : k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
+        texts = ["\n".join([pieces[i] for i in group]) for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            breaks = np.flatnonzero(ids == self.line_break)
+            if len(self.line_break) != 1 or len(breaks) != len(group) - 1:
+                alone += group  # white space beyond ASCII has joined a break
+                continue
+            data = ids.tobytes()
+            starts = [0, *(4 * (breaks + 1)).tolist()]
+            for i, a, b in zip(group, starts, [*(4 * breaks).tolist(), len(data)], strict=True):
+                out[i] = data[a:b]
+        for i, own in zip(alone, self._encode([pieces[i] for i in alone]), strict=True):
+            out[i] = own
+        return out
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of texts, and where each text's ids begin."""
         starts = cuts(texts)
@@ -113,15 +139,17 @@ class Encoder:
         hashes = span_hashes(texts.data, starts, bounds[1:])
         unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = unique.tolist()
-        if len(self.known) > CACHED:
-            self.known.clear()
+        if len(self.known) > CACHED // 2:  # what is met again stays
+            self.known, self.older = {}, self.known
+        for key in self.older.keys() & keys:
+            self.known[key] = self.older.pop(key)
         missing = [i for i, key in enumerate(keys) if key not in self.known]
         raw = texts.data.tobytes()
         if missing:
             at = where[missing]
             spans = zip(starts[at].tolist(), bounds[at + 1].tolist(), strict=True)
             pieces = [raw[a:b].decode() for a, b in spans]
-            self.known.update(zip([keys[i] for i in missing], self._encode(pieces), strict=True))
+            self.known.update(zip([keys[i] for i in missing], self._encode_pieces(pieces), strict=True))
         rows = [self.known[key] for key in keys]
         flat = np.frombuffer(b"".join(rows), "<u4")
         own = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int64)
