@@ -141,18 +141,23 @@ class Encoder:
         keys = unique.tolist()
         if len(self.known) > CACHED // 2:  # what is met again stays
             self.known, self.older = {}, self.known
-        for key in self.older.keys() & keys:
-            self.known[key] = self.older.pop(key)
-        missing = [i for i, key in enumerate(keys) if key not in self.known]
+        rows = list(map(self.known.get, keys))
+        missing = [i for i, row in enumerate(rows) if row is None]
+        if self.older:
+            for i in missing:
+                if (row := self.older.pop(keys[i], None)) is not None:
+                    rows[i] = self.known[keys[i]] = row
+            missing = [i for i in missing if rows[i] is None]
         raw = texts.data.tobytes()
         if missing:
             at = where[missing]
             spans = zip(starts[at].tolist(), bounds[at + 1].tolist(), strict=True)
             pieces = [raw[a:b].decode() for a, b in spans]
-            self.known.update(zip([keys[i] for i in missing], self._encode_pieces(pieces), strict=True))
-        rows = [self.known[key] for key in keys]
+            for i, row in zip(missing, self._encode_pieces(pieces), strict=True):
+                rows[i] = self.known[keys[i]] = row
         flat = np.frombuffer(b"".join(rows), "<u4")
-        own = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int64)
+        own = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=own[1:])
         ids, at = ragged_take(flat, own, inverse)
         at = at[np.searchsorted(starts, texts.offsets)]
         whole = whole_texts(texts).tolist()
@@ -191,12 +196,11 @@ def to_planes(ids: np.ndarray) -> list[bytes]:
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     unpacker = zstandard.ZstdDecompressor()
-    rows = np.stack([np.frombuffer(unpacker.decompress(p), np.uint8) for p in planes], axis=1)
-    bits = np.unpackbits(rows, axis=0, bitorder="little")
-    out = np.packbits(bits, axis=1, bitorder="little")
-    full = np.zeros((len(bits), 4), np.uint8)
-    full[:, : out.shape[1]] = out
-    return full.view("<u4").ravel()[:n]
+    out = np.zeros((-(-n // BLOCK_IDS) * BLOCK_IDS, 4), np.uint8)
+    for bit, plane in enumerate(planes):
+        flags = np.unpackbits(np.frombuffer(unpacker.decompress(plane), np.uint8), bitorder="little")
+        out[:, bit >> 3] |= flags << (bit & 7)
+    return out.view("<u4").ravel()[:n]
 
 
 # --- files -------------------------------------------------------------------
