@@ -24,12 +24,14 @@ from wickflow.operators import features as ft
 from wickflow.operators import ohlc as bars
 from wickflow.operators import partitions as parts
 from wickflow.operators.sequence import Limits
-from wickflow.plans import gold, landing
+from wickflow.plans import daystates, gold, landing
 from wickflow.schemas import FEATURES, RAW_COLUMNS, RAW_TIMESTAMPS
 from wickflow.session import configure, scratch_path
+from wickflow.sources import index
 from wickflow.sources import raw as rawsrc
 from wickflow.sources.events import candles_from_events
 from wickflow.streaming.ingest import ingest, message_stream
+from wickflow.streaming.ingest import rejected_messages as kept_rejects
 
 # The training-data operators are optional: without their folder the rest works.
 try:
@@ -291,6 +293,62 @@ def ingest_stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rawsrc.raw_table(spark, raw).drop("ingestion_timestamp"))
 
 
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that gave no candle, by reason, as the stream kept them beside the candles."""
+    incoming, raw, rejected = (scratch_path(spark, n) for n in ("messages", "raw", "rejected"))
+    bad_price = F.regexp_replace("value", '"c":"[^"]*"', '"c":"none"')
+    every = messages(spark, sf_dir)
+    every.unionByName(every.filter(F.col("value").contains('"x":true')).select(bad_price.alias("value"))).write.text(incoming)
+    query = ingest(
+        message_stream(spark, incoming),
+        raw,
+        scratch_path(spark, "ingest-checkpoint"),
+        SYMBOLS,
+        exchange=EXCHANGE,
+        drain=True,
+        rejected_path=rejected,
+    )
+    query.awaitTermination()
+    return kept_rejects(spark, rejected).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def land_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after every batch came twice, first with other prices, the first copy
+    having been archived."""
+    incoming, raw = scratch_path(spark, "incoming"), scratch_path(spark, "raw")
+    checkpoint, archive = scratch_path(spark, "land-checkpoint"), scratch_path(spark, "archive")
+    rows = dated(spark, sf_dir)
+    for delivered in (rows.withColumn("close", F.col("close") + 1), rows):
+        landing.write_batch(delivered, incoming, "batch-1")
+        landing.land_files(spark, incoming, raw, checkpoint, archive, named_folders=True)
+    return shown(rawsrc.raw_table(spark, raw))
+
+
+def partition_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each partition holds, from the index kept by two writes and a landing."""
+    incoming, raw = scratch_path(spark, "incoming"), scratch_path(spark, "raw")
+    rows = dated(spark, sf_dir)
+    landing.append_raw(rows.filter("minute(candle_start_time) < 20"), raw)
+    landing.append_raw(rows.filter("minute(candle_start_time) >= 40"), raw)
+    landing.append_raw(rows.filter("minute(candle_start_time) BETWEEN 20 AND 39"), incoming)
+    paths = scratch_path(spark, "land-checkpoint"), scratch_path(spark, "archive")
+    landing.land_files(spark, incoming, raw, *paths, named_folders=True)
+    return shown(index.partition_index(spark, raw).drop("n_batches", "changed"))
+
+
+def feature_snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot from stored day states, after late candles in the middle of the lookback."""
+    raw = scratch_path(spark, "raw")
+    rows = dated(spark, sf_dir)
+    newest = newest_date(rows)
+    late = (F.col("date") == F.lit(newest - dt.timedelta(days=9))) & (F.hour("candle_start_time") < 12)
+    landing.append_raw(rows.filter(~late), raw)
+    daystates.update_states(spark, raw, EXCHANGE, newest - dt.timedelta(days=gold.LOOKBACK_DAYS - 1), newest)
+    landing.append_raw(rows.filter(late), raw)
+    found = daystates.snapshot_from_states(spark, raw, newest, EXCHANGE, gold.LOOKBACK_DAYS)
+    return shown(found, rounded=True)
+
+
 def land_archive_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions marked closed after two deliveries, the newest day being the second."""
     incoming, raw, closed = (scratch_path(spark, n) for n in ("incoming", "raw", "closed"))
@@ -533,6 +591,19 @@ def oracle_sql() -> dict[str, str]:
                 rest=", CAST(candle_start_time AS DATE) AS date",
             )
         ),
+        "rejected_messages": _sql(
+            """SELECT reason, count(*) AS n FROM candles, (VALUES ('open candle'), ('other symbol'),
+                ('other interval'), ('no kline'), ('not json'), ('other symbol'), ('other interval'),
+                ('bad c')) AS r(reason) GROUP BY reason"""
+        ),
+        "land_redelivered": _sql("SELECT * FROM raw"),
+        "partition_index": _sql(
+            """SELECT exchange, symbol, date, count(*) AS n_rows, min(candle_start_time) AS first_start,
+                max(candle_close_time) AS last_close_time,
+                arg_max(close, candle_close_time) AS last_close
+            FROM raw GROUP BY ALL"""
+        ),
+        "feature_snapshot_incremental": snapshot,
         "land_archive_mark": _sql(
             "SELECT DISTINCT exchange, symbol, date FROM raw WHERE date < (SELECT max(date) FROM raw)"
         ),
@@ -594,6 +665,10 @@ def queries() -> dict[str, Query]:
         next_gold_date,
         closed_partitions,
         ingest_stream_to_raw,
+        rejected_messages,
+        land_redelivered,
+        partition_index,
+        feature_snapshot_incremental,
         land_archive_mark,
         gold_roundtrip,
         refresh,

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from wickflow.functions.kline import kline_message, parse_klines, stream_names
+from wickflow.functions.kline import judge_klines, kline_message, parse_klines, stream_names
 from wickflow.schemas import RAW_CANDLES, RAW_COLUMNS
 
 from conftest import candle
@@ -105,3 +105,30 @@ def test_messages_round_trip(frame):
 def test_parsing_decodes_each_message_once(spark):
     plan = parse_klines(texts(spark, message()))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_every_message_is_kept_or_has_a_reason(spark):
+    reasons = {
+        message(): None,
+        message(s="btcusdt"): None,
+        message(closed=False): "open candle",
+        message(x=None): "open candle",
+        '{"result": null, "id": 1}': "no kline",
+        '{"data": {"E": 1, "k": null}}': "no kline",
+        "{broken": "not json",
+        "": "not json",
+        message(s="DOGEUSDT"): "other symbol",
+        message(s=None): "other symbol",
+        message(i="5m"): "other interval",
+        message(c="x"): "bad c",
+        message(o=None, c="x"): "bad o",
+        message(t=10**17): "bad t",
+    }
+    rows = texts(spark, *reasons, None)
+    judged = judge_klines(rows).collect()
+    assert {r.value: r.reason for r in judged} == reasons | {None: "not json"}
+    assert all((r.candle is None) == (r.reason is not None) for r in judged)
+    kept = judge_klines(rows).filter("reason IS NULL").select("candle.*").drop("ingestion_timestamp")
+    parsed = parse_klines(rows, bad_prices="drop").drop("ingestion_timestamp")
+    assert kept.schema.simpleString() == parsed.schema.simpleString()
+    assert sorted(kept.collect()) == sorted(parsed.collect())

@@ -6,7 +6,8 @@ import pytest
 
 from wickflow.plans import landing
 from wickflow.sources.raw import RAW_FILE_PATTERN, inventory, raw_files, raw_table, with_start_date
-from wickflow.streaming.ingest import ingest, message_stream
+
+from wickflow.streaming.ingest import ingest, message_stream, rejected_messages
 
 from conftest import candle
 from test_parse import message
@@ -19,15 +20,20 @@ def job(spark, tmp_path):
     incoming.mkdir()
 
     def run(name, *messages, **options):
+        run.raw = str(raw)
         (incoming / name).write_text("\n".join(messages) + "\n")
         query = ingest(message_stream(spark, str(incoming)), str(raw), str(checkpoint),
                        drain=True, **options)
         query.awaitTermination()
-        return raw_table(spark, str(raw))
+        return raw_table(spark, str(raw)) if raw.exists() else None
 
     return run
 
 
+def raw_path(job):
+    return job.raw
+
+
 def test_only_closed_candles_reach_the_table(job):
     got = job("a.txt", message(), message(closed=False), '{"result":null,"id":1}', "{bad",
               message(c="x"), message(s="ETHUSDT"))
@@ -110,6 +116,39 @@ def test_old_and_nanosecond_files_land(spark, tmp_path):
     assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
 
 
+def test_rejected_messages_are_kept_with_their_reason(spark, job, tmp_path):
+    path = str(tmp_path / "rejected")
+    got = job("a.txt", message(), message(closed=False), "{bad", message(c="x"), rejected_path=path)
+    assert got.count() == 1
+    assert job("b.txt", "{bad", rejected_path=path).count() == 1
+    found = sorted((r.reason, r.value) for r in rejected_messages(spark, path).collect())
+    assert found == [("bad c", message(c="x")), ("not json", "{bad"), ("not json", "{bad"),
+                     ("open candle", message(closed=False))]
+
+
+def test_candles_are_held_until_enough_or_long_enough(spark, job):
+    start = json.loads(message())["data"]["k"]["t"]
+
+    def minutes(first, n, symbol="BTCUSDT"):
+        return [message(s=symbol, t=start + 60_000 * i, T=start + 60_000 * i + 59_999) for i in range(first, first + n)]
+
+    def run(name, *texts, seconds=3_600):
+        job(name, *texts, flush_events=10, flush_seconds=seconds)
+        path = raw_path(job)
+        return sorted((r.symbol, r["count"]) for r in raw_table(spark, path).groupBy("symbol").count().collect()) \
+            if os.path.exists(path) else []
+
+    assert run("a.txt", *minutes(0, 6)) == []
+    # every run is a restart: what was held is still there
+    assert run("b.txt", *minutes(6, 3), *minutes(0, 4, "ETHUSDT")) == []
+    assert run("c.txt", *minutes(9, 5)) == [("BTCUSDT", 14)]
+    assert run("d.txt", *minutes(14, 2), seconds=1) == [("BTCUSDT", 14)]
+    time.sleep(1.5)
+    # ETHUSDT waits for its hour, BTCUSDT's second is over
+    assert run("e.txt", *minutes(4, 1, "ETHUSDT")) == [("BTCUSDT", 16)]
+    assert run("f.txt", *minutes(5, 25, "ETHUSDT")) == [("BTCUSDT", 16), ("ETHUSDT", 30)]
+
+
 def test_old_messages_are_read(job, tmp_path):
     job("new.txt", message())
     (tmp_path / "in" / "old.txt").write_text(message(s="ETHUSDT") + "\n")

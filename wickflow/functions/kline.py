@@ -100,6 +100,55 @@ def parse_klines(
     return candles.select(*RAW_COLUMNS)
 
 
+def judge_klines(
+    messages: DataFrame,
+    symbols: Iterable[str] = SYMBOLS,
+    interval: str = INTERVAL,
+    exchange: str = EXCHANGE,
+    ingested_at: Column | None = None,
+) -> DataFrame:
+    """Every message as text with the ``reason`` why it gives no candle, or without one and
+    with its ``candle``, a struct of the raw columns.
+
+    Reasons are, in this order: ``not json``, ``no kline``, ``open candle``,
+    ``other symbol``, ``other interval`` and ``bad <key>`` for the first price or time that
+    is missing or malformed. What is left is what ``parse_klines`` keeps.
+    """
+    text = F.col("value").cast("string")
+    message = F.from_json(text, MESSAGE_TYPE)
+    rows = messages.select(F.inline(F.array(F.struct(text.alias("value"), message["data"].alias("data")))))
+    wanted = {symbol.upper(): symbol for symbol in symbols}
+    pairs = [F.lit(text) for pair in wanted.items() for text in pair]
+    named = F.create_map(*(pairs or [F.lit(""), F.lit("")]))
+    body = F.col("data")["k"]
+
+    def instant(millis: Column) -> Column:
+        return F.timestamp_millis(F.when(millis.between(FIRST_MS, LAST_MS), millis))
+
+    times = {"E": instant(F.col("data")["E"])} | {k: instant(body[k].try_cast("bigint")) for k in ("t", "T")}
+    prices = {k: body[k].try_cast("double") for k in ("o", "h", "l", "c")}
+    bad = [F.when(value.isNull(), F.lit(f"bad {key}")) for key, value in (times | prices).items()]
+    reason = F.coalesce(
+        F.when(body.isNull(), F.when(F.try_parse_json("value").isNull(), "not json").otherwise("no kline")),
+        F.when(~F.coalesce(body["x"] == "true", F.lit(False)), "open candle"),
+        F.when(~F.coalesce(F.upper(body["s"]).isin(list(wanted)), F.lit(False)), "other symbol"),
+        F.when(~F.coalesce(body["i"] == interval, F.lit(False)), "other interval"),
+        *bad,
+    )
+    values = [
+        F.lit(exchange),
+        F.try_element_at(named, F.upper(body["s"])),
+        body["i"],
+        *times.values(),
+        *prices.values(),
+        F.lit(True),
+        F.current_timestamp() if ingested_at is None else ingested_at,
+    ]
+    candle = F.struct(*(v.alias(c) for c, v in zip(RAW_COLUMNS, values, strict=True)))
+    judged = rows.select("value", reason.alias("reason"), candle.alias("candle"))
+    return judged.withColumn("candle", F.when(F.col("reason").isNull(), F.col("candle")))
+
+
 def kline_message(
     closed: bool = True, symbol: Column | str = "symbol", interval: Column | str = "interval"
 ) -> Column:

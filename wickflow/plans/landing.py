@@ -9,7 +9,6 @@ from collections.abc import Iterable, Iterator
 from itertools import islice
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -255,12 +254,9 @@ def archive_files(spark: SparkSession, landing: str, checkpoint: str, archive: s
     Returns how many were moved, and which were not.
     """
     taken = ledger(spark, checkpoint).select(*DELIVERY).distinct()
-    try:
-        files = raw_files(spark, landing).join(taken, DELIVERY, "left_semi")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, landing):
         return 0, []
+    files = raw_files(spark, landing).join(taken, DELIVERY, "left_semi")
     jvm = spark._jvm
     moved, failed = 0, []
     for row in files.select("file", F.unix_millis("modified").alias("at")).toLocalIterator():
@@ -282,12 +278,9 @@ def archive_files(spark: SparkSession, landing: str, checkpoint: str, archive: s
 
 def closed_table(spark: SparkSession, path: str) -> DataFrame:
     """The partitions marked closed so far; none when the table does not exist yet."""
-    try:
-        return spark.read.schema(PARTITION_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], PARTITION_SCHEMA)
+    return spark.read.schema(PARTITION_SCHEMA).parquet(path)
 
 
 def mark_closed(
