@@ -82,3 +82,26 @@ def test_only_the_date_is_read_once_states_are_there(spark, raw):
                 shutil.rmtree(f"{own}/{folder}")
     found = daystates.snapshot_from_states(spark, raw, DAY, "binance", 3, ["LONG", "HALF"])
     assert_close(collected(found), expected.drop(columns=["symbol", "ts"]))
+
+
+def test_bars_come_from_parts(spark, frame, raw):
+    from wickflow.operators.ohlc import merged_bars, ohlc
+
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+
+    def shown(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+    for _ in range(2):
+        parts = daystates.stored_parts(spark, raw, "binance", first, last)
+        table = raw_table(spark, raw)
+        for grain in ("hour", "day", "month"):
+            assert shown(merged_bars(parts, grain)) == shown(ohlc(table, grain))
+        day = merged_bars(parts.filter("date = '2024-01-03'"), "day")
+        assert shown(day) == shown(ohlc(table.filter("date = '2024-01-03'"), "day"))  # HALF closes on the fourth too
+        append_raw(frame([candle("GONE", "2024-01-03T23:59:30", 9), candle("HALF", "2024-01-02T03:00:15", 999)]), raw)
+    months = shown(merged_bars(daystates.stored_parts(spark, raw, "binance", first, last), "month"))
+    for folder in os.listdir(raw):
+        if not folder.startswith("_"):  # the bars need no candles any more
+            shutil.rmtree(f"{raw}/{folder}")
+    assert shown(merged_bars(daystates.stored_parts(spark, raw, "binance", first, last), "month")) == months

@@ -37,6 +37,34 @@ def ohlc(candles: DataFrame, grain: str, keys: Iterable[str] = ("symbol",)) -> D
     return candles.groupBy(*keys, bucket(F.col("candle_close_time")).alias(name)).agg(*prices)
 
 
+def bar_parts(candles: DataFrame, keys: Iterable[str] = ("symbol",)) -> DataFrame:
+    """What an hour of candles adds to any bar that holds it: first and last price with
+    their times, extremes, and sum and count of the closes."""
+    return candles.groupBy(*keys, hour_bucket(F.col("candle_close_time")).alias("hour_ts")).agg(
+        F.min("candle_close_time").alias("open_at"),
+        F.min_by("open", "candle_close_time").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.sum("close").alias("close_sum"),
+        F.count("close").alias("close_count"),
+        F.max("candle_close_time").alias("close_at"),
+        F.max_by("close", "candle_close_time").alias("close"),
+    )
+
+
+def merged_bars(parts: DataFrame, grain: str, keys: Iterable[str] = ("symbol",)) -> DataFrame:
+    """The bars that ``ohlc`` makes of the candles, from their parts."""
+    name, bucket, averaged = GRAINS[grain]
+    average = F.try_divide(F.sum("close_sum"), F.sum("close_count")).alias("avg_price")
+    return parts.groupBy(*keys, bucket(F.col("hour_ts")).alias(name)).agg(
+        F.min_by("open", "open_at").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        *([average] if averaged else []),
+        F.max_by("close", "close_at").alias("close"),
+    )
+
+
 def daily_stats(candles: DataFrame) -> DataFrame:
     """Candle count, lowest and highest price by date of the candle *start*."""
     return (

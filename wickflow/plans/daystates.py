@@ -1,18 +1,19 @@
-"""Stored day states: what each day's candles leave for the features of later days.
+"""Stored day states and bar parts: what each day's candles add to the gold tables.
 
-A raw partition's candles are summed up once (see ``wickflow.operators.states``), those that
-close on the next date apart from the others. The snapshot of a date then composes the
-small rows of its lookback and reads the candles of that date alone. A state carries the
-time at which the index last saw its partition change, so a late candle makes the states of
-its own date stale and no others.
+A raw partition's candles are summed up once: for features (see
+``wickflow.operators.states``), those that close on the next date apart from the others,
+and for bars, by hour. The snapshot of a date then composes the small rows of its lookback
+and reads the candles of that date alone; bars of days and months read no candles at all.
+What is stored carries the time at which the index last saw its partition change, so a
+late candle makes that of its own date stale and nothing else.
 
-States lie beside the table's rows, in a folder that its listings skip.
+It lies beside the table's rows, in folders that its listings skip.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from wickflow.functions.calendar import parse_date
 from wickflow.operators.features import FRAME_ROWS, INPUTS, feature_snapshot, features_after
+from wickflow.operators.ohlc import bar_parts
 from wickflow.operators.sequence import ORDER, Limits
 from wickflow.operators.states import folded, known_close, nothing, summaries
 from wickflow.schemas import FEATURE_SPANS
@@ -27,7 +29,13 @@ from wickflow.session import path_exists
 from wickflow.sources.index import partition_index
 from wickflow.sources.raw import raw_table
 
-FOLDER = "_states"
+FOLDER, PARTS_FOLDER = "_states", "_bar_parts"
+
+PARTS = (
+    "symbol string, hour_ts timestamp, open_at timestamp, open double, high double, low double, "
+    "close_sum double, close_count bigint, close_at timestamp, close double, as_of timestamp, "
+    "exchange string, date date"
+)
 
 
 def _held(spark: SparkSession, raw_path: str) -> DataFrame:
@@ -55,31 +63,77 @@ def _window(rows: DataFrame, exchange: str, first: dt.date, last: dt.date) -> Da
     return rows.filter((F.col("exchange") == exchange) & F.col("date").between(F.lit(first), F.lit(last)))
 
 
-def update_states(spark: SparkSession, raw_path: str, exchange: str, first: dt.date, last: dt.date) -> list[dt.date]:
-    """Sums up the partitions of the dates that changed since, and returns those dates."""
+def _updated(
+    spark: SparkSession,
+    raw_path: str,
+    folder: str,
+    held: DataFrame,
+    summed_up: Callable[[DataFrame], DataFrame],
+    exchange: str,
+    first: dt.date,
+    last: dt.date,
+) -> list[dt.date]:
+    """Sums up the partitions of the dates that changed since, and returns those dates.
+
+    ``summed_up`` makes the rows to store, with symbol and date, of a slice of the table.
+    """
     key = ["symbol", "date"]
     now = _window(partition_index(spark, raw_path), exchange, first, last).select(*key, "changed")
-    known = _window(_held(spark, raw_path), exchange, first, last).groupBy(*key).agg(F.min("as_of").alias("as_of"))
+    known = _window(held, exchange, first, last).groupBy(*key).agg(F.min("as_of").alias("as_of"))
     stale = now.join(known, key, "left").filter("as_of IS NULL OR as_of < changed")
     dates = sorted(r.date for r in stale.select("date").distinct().collect())  # a lookback at most
     if not dates:
         return []
     rows = raw_table(spark, raw_path).filter((F.col("exchange") == exchange) & F.col("date").isin(dates))
-    rows = rows.select(*INPUTS, "date", F.to_date("candle_close_time").alias("closes_on"))
-    rows = rows.withColumn("close", known_close())
-    runs = summaries(rows, [*key, "closes_on"], ORDER, FEATURE_SPANS, FRAME_ROWS)
     (
-        runs.join(now.withColumnRenamed("changed", "as_of"), key)
+        summed_up(rows)
+        .join(now.withColumnRenamed("changed", "as_of"), key)
         .withColumn("exchange", F.lit(exchange))
         .hint("rebalance", "exchange", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("exchange", "date")
-        .parquet(f"{raw_path}/{FOLDER}")
+        .parquet(f"{raw_path}/{folder}")
     )
     return dates
 
 
+def _present(
+    spark: SparkSession, raw_path: str, held: DataFrame, exchange: str, first: dt.date, last: dt.date
+) -> DataFrame:
+    """What is stored of partitions that still have rows."""
+    index = _window(partition_index(spark, raw_path), exchange, first, last).select("symbol", "date")
+    return _window(held, exchange, first, last).join(index, ["symbol", "date"], "left_semi")
+
+
+def update_states(spark: SparkSession, raw_path: str, exchange: str, first: dt.date, last: dt.date) -> list[dt.date]:
+    """Brings the states of the dates up to date, and returns those that were stale."""
+
+    def runs(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*INPUTS, "date", F.to_date("candle_close_time").alias("closes_on"))
+        rows = rows.withColumn("close", known_close())
+        return summaries(rows, ["symbol", "date", "closes_on"], ORDER, FEATURE_SPANS, FRAME_ROWS)
+
+    return _updated(spark, raw_path, FOLDER, _held(spark, raw_path), runs, exchange, first, last)
+
+
+def stored_parts(spark: SparkSession, raw_path: str, exchange: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Bar parts of the dates (symbol, date, hour and what ``merged_bars`` needs), brought up
+    to date first."""
+
+    def held() -> DataFrame:
+        path = f"{raw_path}/{PARTS_FOLDER}"
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], PARTS)
+        return spark.read.schema(PARTS).parquet(path)
+
+    def parts(rows: DataFrame) -> DataFrame:
+        return bar_parts(rows, ("symbol", "date"))
+
+    _updated(spark, raw_path, PARTS_FOLDER, held(), parts, exchange, first, last)
+    return _present(spark, raw_path, held(), exchange, first, last)
+
+
 def snapshot_from_states(
     spark: SparkSession,
     raw_path: str,
@@ -98,8 +152,7 @@ def snapshot_from_states(
     last = parse_date(date)
     first = last - dt.timedelta(days=lookback_days - 1)
     update_states(spark, raw_path, exchange, first, last)
-    present = _window(partition_index(spark, raw_path), exchange, first, last).select("symbol", "date")
-    held = _window(_held(spark, raw_path), exchange, first, last).join(present, ["symbol", "date"], "left_semi")
+    held = _present(spark, raw_path, _held(spark, raw_path), exchange, first, last)
     raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
     if symbols is not None:
         symbols = list(symbols)
