@@ -43,9 +43,10 @@ def test_run_writes_four_tables_in_their_slices(spark, paths):
     raw, out = paths
     counts = gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
     assert counts == {"hourly_ohlc": 4, "daily_ohlc": 2, "monthly_ohlc": 2, "features": 180}
-    files = listing(out)
+    files = [f for f in listing(out) if not f.startswith("_runs")]
     assert not [f for f in files if "_SUCCESS" in f]
-    folders = {os.path.dirname(f) for f in files}
+    assert all(os.path.basename(os.path.dirname(f)).startswith("run=") for f in files)
+    folders = {os.path.dirname(os.path.dirname(f)) for f in files}
     assert "monthly_ohlc/exchange=binance/symbol=BTCUSDT/slice_month=2024-01" in folders
     assert "features/exchange=binance/symbol=ETHUSDT/slice_date=2024-01-31" in folders
     assert len(files) == len(folders) == 8
@@ -113,3 +114,34 @@ def test_refresh_chooses_its_date(spark, frame, paths):
     assert gold.refresh(spark, raw, out, [*PAIR, "DOGEUSDT"]) is None
     got = gold.gold_table(spark, out, "features").select("slice_date").distinct().count()
     assert got == 3
+
+
+def test_readers_see_all_tables_of_a_run_or_none(spark, frame, paths, monkeypatch):
+    raw, out = paths
+    gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
+    before = content(spark, out)
+    append_raw(frame([candle("BTCUSDT", "2024-01-31T23:00:00", 999)]), raw)
+    write = gold.write_slices
+
+    def third_fails(table, path, *rest):
+        if path.endswith("monthly_ohlc"):
+            raise OSError("disk full")
+        return write(table, path, *rest)
+
+    monkeypatch.setattr(gold, "write_slices", third_fails)
+    with pytest.raises(OSError):
+        gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
+    assert content(spark, out) == before
+    monkeypatch.setattr(gold, "write_slices", write)
+    gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
+    after = content(spark, out)
+    assert all(after[name] != before[name] for name in gold.TABLES)
+
+
+def test_replaced_runs_go_one_run_later(spark, paths):
+    raw, out = paths
+    for _ in range(4):
+        gold.gold_run(spark, raw, out, "2024-01-31", PAIR)
+    folder = f"{out}/daily_ohlc/exchange=binance/symbol=BTCUSDT/slice_date=2024-01-31"
+    assert len(os.listdir(folder)) == 2
+    assert gold.gold_table(spark, out, "daily_ohlc").count() == 2

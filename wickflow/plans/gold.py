@@ -1,8 +1,16 @@
-"""The gold run: four tables for one date, each replacing only its own slices."""
+"""The gold run: four tables for one date, each replacing only its own slices.
+
+A run writes its slices into folders of its own and then makes them current by one small
+file below ``_runs``, which names the slices of all tables. Readers take of each slice the
+run that was committed last, so they see all four tables of a run or none, whatever fails
+in between. Folders of runs that were no longer current when a run began are removed after
+its commit, so a reader may finish with the run it started on.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +25,7 @@ from wickflow.operators.partitions import next_gold_date
 from wickflow.operators.sequence import Limits
 from wickflow.plans.daystates import snapshot_from_states
 from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
-from wickflow.session import configure, scratch_path
+from wickflow.session import configure, hadoop_path, path_exists, remove_path
 from wickflow.sources.index import partition_index
 from wickflow.sources.raw import (
     month_of,
@@ -41,6 +49,11 @@ TABLES = {
 }
 
 
+RUNS = "_runs"
+SLICE = "table_name string, exchange string, symbol string, slice string"
+COMMIT = f"{SLICE}, run string, started timestamp, committed timestamp"
+
+
 class EmptyOutput(RuntimeError):
     """A gold table came out without rows."""
 
@@ -70,24 +83,38 @@ def gold_tables(
     }
 
 
-def replace_slices(table: DataFrame, path: str, slices: list[str]) -> int:
-    """Writes ``table`` over the slices it has rows for, and returns its row count.
+def write_slices(table: DataFrame, path: str, slices: list[str], run: str) -> dict[str, int]:
+    """Writes ``table`` into the slices it has rows for, as those of a run; rows per symbol.
 
-    Dynamic partition overwrite leaves every other slice alone, so a write can be
-    repeated, and one without rows replaces nothing. Rows are rebalanced by
-    slice: one file each as long as a slice is small, several when it is not.
+    Rows are rebalanced by slice: one file each as long as a slice is small, several when
+    it is not.
     """
     written = Observation()
     (
-        table.hint("rebalance", *slices)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        table.withColumn("run", F.lit(run))
+        .hint("rebalance", *slices)
+        .observe(written, F.count(F.lit(1)).alias("rows"), F.collect_set("symbol").alias("symbols"))
+        .write.mode("append")
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-        .partitionBy(*slices)
+        .partitionBy(*slices, "run")
         .parquet(path)
     )
-    return written.get["rows"]
+    return written.get
+
+
+def committed(spark: SparkSession, gold_path: str) -> DataFrame:
+    """What each run committed: table_name, exchange, symbol, slice, run, started, committed."""
+    path = f"{gold_path}/{RUNS}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], COMMIT)
+    return spark.read.schema(COMMIT).parquet(path)
+
+
+def current_slices(spark: SparkSession, gold_path: str) -> DataFrame:
+    """The commit that each slice of each table shows now."""
+    key = ["table_name", "exchange", "symbol", "slice"]
+    latest = F.max_by(F.struct("run", "started", "committed"), F.struct("committed", "run")).alias("latest")
+    return committed(spark, gold_path).groupBy(*key).agg(latest).select(*key, "latest.*")
 
 
 def publish(
@@ -96,35 +123,67 @@ def publish(
     date: dt.date | str,
     exchange: str = EXCHANGE,
     symbols: Iterable[str] = (),
+    started: dt.datetime | None = None,
 ) -> dict[str, int]:
-    """Writes the tables under ``gold_path``; fails on one without rows.
+    """Writes the tables under ``gold_path`` and commits them as one; rows per table.
 
-    All are staged in the shared folder first. Slices are replaced only when every
-    table has rows for each of ``symbols``, so a run that fails on an empty output
-    leaves the tables as they were.
+    Fails on a table without rows, or without rows of one of ``symbols``, and then commits
+    nothing, so the tables stay as they were. ``started`` is when their input was read.
     """
+    spark = next(iter(tables.values())).sparkSession
+    started = started or dt.datetime.now(dt.timezone.utc)
     slice_value = {"slice_date": F.lit(parse_date(date)), "slice_month": F.lit(month_of(date))}
-    staged = {}
+    named = {"slice_date": str(parse_date(date)), "slice_month": month_of(date)}
+    run = f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+    counts, slices = {}, []
     for name, table in tables.items():
-        spark = table.sparkSession
-        path = scratch_path(spark, f"staged-{name}")
-        table.write.parquet(path)
-        staged[name] = spark.read.schema(table.schema).parquet(path)
-    for name, table in staged.items():
-        found = {r.symbol for r in table.select("symbol").distinct().collect()}
-        missing = set(symbols) - found
-        if missing or not found:
-            raise EmptyOutput(f"{name} has no rows for {date} {sorted(missing)}")
-    counts = {}
-    for name, table in staged.items():
         column = TABLES[name][1].name
         rows = table.withColumns({"exchange": F.lit(exchange), column: slice_value[column]})
-        counts[name] = replace_slices(
-            rows, f"{gold_path}/{name}", ["exchange", "symbol", column]
-        )
+        found = write_slices(rows, f"{gold_path}/{name}", ["exchange", "symbol", column], run)
+        missing = set(symbols) - set(found["symbols"])
+        if missing or not found["rows"]:
+            for other in tables:
+                _remove_runs(spark, gold_path, other, f"exchange={exchange}/*/*/run={run}")
+            raise EmptyOutput(f"{name} has no rows for {date} {sorted(missing)}")
+        counts[name] = found["rows"]
+        slices += [(name, exchange, symbol, named[column]) for symbol in found["symbols"]]
+    before = [
+        r.asDict()
+        for r in committed(spark, gold_path)
+        .join(F.broadcast(spark.createDataFrame(slices, SLICE)), ["table_name", "exchange", "symbol", "slice"])
+        .select("table_name", "exchange", "symbol", "slice", "run", "committed")
+        .toLocalIterator()
+    ]
+    now = dt.datetime.now(dt.timezone.utc)
+    commit = spark.createDataFrame([(*own, run, started, now) for own in slices], COMMIT)
+    commit.hint("rebalance").write.parquet(f"{gold_path}/{RUNS}/commit={run}")
+    _remove_replaced(spark, gold_path, before)
     return counts
 
 
+def _remove_replaced(spark: SparkSession, gold_path: str, before: list[dict]) -> None:
+    """Removes folders of runs that something replaced before this one did."""
+    last: dict[tuple, tuple] = {}
+    for own in before:
+        key = (own["table_name"], own["exchange"], own["symbol"], own["slice"])
+        last[key] = max(last.get(key, (own["committed"], own["run"])), (own["committed"], own["run"]))
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for own in before:
+        key = (own["table_name"], own["exchange"], own["symbol"], own["slice"])
+        if own["run"] != last[key][1]:
+            column = TABLES[own["table_name"]][1].name
+            values = {"exchange": own["exchange"], "symbol": own["symbol"], column: own["slice"], "run": own["run"]}
+            folder = "/".join(f"{c}={escaped(v)}" for c, v in values.items())
+            remove_path(spark, f"{gold_path}/{own['table_name']}/{folder}")
+
+
+def _remove_runs(spark: SparkSession, gold_path: str, name: str, pattern: str) -> None:
+    """Removes what a run wrote before it failed; a later run does not see it either way."""
+    system, path = hadoop_path(spark, f"{gold_path}/{name}/{pattern}")
+    for found in system.globStatus(path) or []:
+        system.delete(found.getPath(), True)
+
+
 def gold_run(
     spark: SparkSession,
     raw_path: str,
@@ -140,11 +199,12 @@ def gold_run(
     Of the lookback only days that changed since the last run are read again.
     """
     configure(spark)
+    started = dt.datetime.now(dt.timezone.utc)
     symbols = list(symbols)
     raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
     features = snapshot_from_states(spark, raw_path, date, exchange, lookback_days, symbols, limits)
     tables = gold_tables(raw, date, symbols, lookback_days, limits, features)
-    return publish(tables, gold_path, date, exchange, symbols)
+    return publish(tables, gold_path, date, exchange, symbols, started)
 
 
 def refresh(
@@ -175,8 +235,15 @@ def refresh(
 
 
 def gold_table(spark: SparkSession, gold_path: str, name: str) -> DataFrame:
-    """A published table: its columns, then exchange and slice."""
+    """A published table, as its last runs committed it: its columns, then exchange and slice."""
     schema, slice_column = TABLES[name]
-    exchange = T.StructField("exchange", T.StringType())
-    full = T.StructType([*schema.fields, exchange, slice_column])
-    return spark.read.schema(full).parquet(f"{gold_path}/{name}").select(*full.fieldNames())
+    own = [T.StructField("exchange", T.StringType()), slice_column]
+    full = T.StructType([*schema.fields, *own, T.StructField("run", T.StringType())])
+    path = f"{gold_path}/{name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([*schema.fields, *own]))
+    current = current_slices(spark, gold_path).filter(F.col("table_name") == name)
+    current = current.select("exchange", "symbol", F.col("slice").cast(slice_column.dataType).alias(slice_column.name), "run")
+    rows = spark.read.schema(full).parquet(path)
+    rows = rows.join(current, ["exchange", "symbol", slice_column.name, "run"], "left_semi")
+    return rows.select(*schema.fieldNames(), *(f.name for f in own))
