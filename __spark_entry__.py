@@ -401,6 +401,32 @@ def refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(table, rounded=True)
 
 
+def refresh_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest feature slice, published before late candles came and refreshed for them."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "gold")
+    rows = dated(spark, sf_dir)
+    newest = newest_date(rows)
+    late = (F.col("date") == F.lit(newest - dt.timedelta(days=3))) & (F.hour("candle_start_time") >= 12)
+    landing.append_raw(rows.filter(~late), raw)
+    gold.gold_run(spark, raw, out, newest, SYMBOLS, EXCHANGE)
+    landing.append_raw(rows.filter(late), raw)
+    gold.refresh_stale(spark, raw, out, EXCHANGE)
+    table = gold.gold_table(spark, out, "features").select(*FEATURES.fieldNames())
+    return shown(table, rounded=True)
+
+
+def bars_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly bars merged from stored hours, after more candles came."""
+    raw = scratch_path(spark, "raw")
+    rows = dated(spark, sf_dir)
+    early = F.hour("candle_start_time") < 12
+    first, last = rows.agg(F.min("date"), F.max("date")).first()
+    for own in (rows.filter(early), rows.filter(~early)):
+        landing.append_raw(own, raw)
+        parts = daystates.stored_parts(spark, raw, EXCHANGE, first, last)
+    return shown(bars.merged_bars(parts, "month"), rounded=True)
+
+
 def collect_land_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages through ingest, landing, closed marks and a refresh: the feature table."""
     incoming, landed, raw, out = (scratch_path(spark, n) for n in ("messages", "in", "raw", "gold"))
@@ -626,8 +652,10 @@ def oracle_sql() -> dict[str, str]:
                 GROUP BY 1, 2, 3"""
         ),
         "refresh": snapshot,
+        "refresh_stale": snapshot,
         "collect_land_refresh": snapshot,
     }
+    found["bars_from_parts"] = found["ohlc_monthly"]
     if llm is not None:
         found |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:
@@ -672,6 +700,8 @@ def queries() -> dict[str, Query]:
         land_archive_mark,
         gold_roundtrip,
         refresh,
+        refresh_stale,
+        bars_from_parts,
         collect_land_refresh,
     ]
     found = {query.__name__: query for query in listed}

@@ -145,3 +145,27 @@ def test_replaced_runs_go_one_run_later(spark, paths):
     folder = f"{out}/daily_ohlc/exchange=binance/symbol=BTCUSDT/slice_date=2024-01-31"
     assert len(os.listdir(folder)) == 2
     assert gold.gold_table(spark, out, "daily_ohlc").count() == 2
+
+
+def test_a_late_candle_refreshes_what_it_reaches(spark, frame, paths):
+    raw, out = paths
+    dates = ("2024-01-30", "2024-01-31", "2024-02-01")
+    for date in dates:
+        gold.gold_run(spark, raw, out, date, PAIR, lookback_days=2)
+    assert gold.refresh_stale(spark, raw, out, lookback_days=2) == []
+    before = {r.run for r in gold.current_slices(spark, out).collect()}
+    append_raw(frame([candle("BTCUSDT", "2024-01-30T09:00:00", 999)]), raw)
+    assert sorted(gold.refresh_stale(spark, raw, out, lookback_days=2)) == [
+        ("daily_ohlc", "2024-01-30", "BTCUSDT"),
+        ("features", "2024-01-30", "BTCUSDT"),
+        ("features", "2024-01-31", "BTCUSDT"),
+        ("hourly_ohlc", "2024-01-30", "BTCUSDT"),
+        ("monthly_ohlc", "2024-01", "BTCUSDT"),
+    ]
+    assert gold.refresh_stale(spark, raw, out, lookback_days=2) == []
+    kept = gold.current_slices(spark, out).collect()
+    assert len(kept) == 22 and sum(r.run not in before for r in kept) == 5
+    whole = out + "-again"
+    for date in dates:
+        gold.gold_run(spark, raw, whole, date, PAIR, lookback_days=2)
+    assert content(spark, out) == content(spark, whole)

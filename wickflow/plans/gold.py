@@ -12,18 +12,19 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable
+from itertools import groupby
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickflow.functions.calendar import parse_date
 from wickflow.functions.kline import EXCHANGE, SYMBOLS
 from wickflow.operators.features import feature_snapshot
-from wickflow.operators.ohlc import ohlc
+from wickflow.operators.ohlc import merged_bars, ohlc
 from wickflow.operators.partitions import next_gold_date
 from wickflow.operators.sequence import Limits
-from wickflow.plans.daystates import snapshot_from_states
+from wickflow.plans.daystates import snapshot_from_states, stored_parts
 from wickflow.schemas import DAILY_OHLC, FEATURES, HOURLY_OHLC, MONTHLY_OHLC
 from wickflow.session import configure, hadoop_path, path_exists, remove_path
 from wickflow.sources.index import partition_index
@@ -65,20 +66,28 @@ def gold_tables(
     lookback_days: int = LOOKBACK_DAYS,
     limits: Limits = Limits(),
     features: DataFrame | None = None,
+    parts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The four tables for ``date``, all symbols in one plan each.
 
-    ``features`` is given where they come from stored states. Fails when a symbol has no raw rows in the day, the month or the lookback.
+    ``features`` is given where they come from stored states, and ``parts`` of the month's
+    bars where those are stored. Fails when a symbol has no raw rows in the day, the month or the lookback.
     The month and the lookback both hold the day, so the day decides.
     """
     symbols = list(symbols)
     day = raw_slice(raw, symbols, date=date)
-    month = raw_slice(raw, symbols, month=month_of(date))
     require_symbols(day, symbols)
+    if parts is not None:
+        parts = parts.filter(F.col("symbol").isin(symbols))
+        of_day = parts.filter(F.col("date") == F.lit(parse_date(date)))
+        bars = {g: merged_bars(parts if g == "month" else of_day, g) for g in ("hour", "day", "month")}
+    else:
+        month = raw_slice(raw, symbols, month=month_of(date))
+        bars = {g: ohlc(month if g == "month" else day, g) for g in ("hour", "day", "month")}
     return {
-        "hourly_ohlc": ohlc(day, "hour"),
-        "daily_ohlc": ohlc(day, "day"),
-        "monthly_ohlc": ohlc(month, "month"),
+        "hourly_ohlc": bars["hour"],
+        "daily_ohlc": bars["day"],
+        "monthly_ohlc": bars["month"],
         "features": feature_snapshot(raw, date, lookback_days, symbols, limits) if features is None else features,
     }
 
@@ -203,10 +212,86 @@ def gold_run(
     symbols = list(symbols)
     raw = raw_table(spark, raw_path).filter(F.col("exchange") == exchange)
     features = snapshot_from_states(spark, raw_path, date, exchange, lookback_days, symbols, limits)
-    tables = gold_tables(raw, date, symbols, lookback_days, limits, features)
+    parts = stored_parts(spark, raw_path, exchange, *_month(date))
+    tables = gold_tables(raw, date, symbols, lookback_days, limits, features, parts)
     return publish(tables, gold_path, date, exchange, symbols, started)
 
 
+def _month(date: dt.date | str) -> tuple[dt.date, dt.date]:
+    """First and last day of the month that holds the date."""
+    first = parse_date(date).replace(day=1)
+    return first, (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+
+
+def _slices_of(name: str, dates: Column) -> Column:
+    """The table's slices of an array of dates."""
+    form = "yyyy-MM" if TABLES[name][1] is SLICE_MONTH else "yyyy-MM-dd"
+    return F.transform(
+        dates, lambda date: F.struct(F.lit(name).alias("table_name"), F.date_format(date, form).alias("slice"))
+    )
+
+
+def stale_slices(
+    spark: SparkSession, raw_path: str, gold_path: str, exchange: str = EXCHANGE, lookback_days: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """table_name, symbol and slice of the published slices whose input changed since.
+
+    A partition of the raw table goes into the bars of its date and of its month, and into
+    the features of its date and of the days that look back to it.
+    """
+    slices = current_slices(spark, gold_path).filter(F.col("exchange") == exchange)
+    changed = partition_index(spark, raw_path).filter(F.col("exchange") == exchange).select("symbol", "date", "changed")
+    date = F.col("date")
+    days = F.sequence(date, F.date_add(date, lookback_days - 1))
+    reach = {
+        "hourly_ohlc": F.array(date),
+        "daily_ohlc": F.array(date),
+        "monthly_ohlc": F.array(F.trunc(date, "month")),
+        "features": days,
+    }
+    named = [_slices_of(name, where) for name, where in reach.items()]
+    affected = changed.select("symbol", "changed", F.inline(F.concat(*named)))
+    key = ["table_name", "symbol", "slice"]
+    latest = affected.groupBy(*key).agg(F.max("changed").alias("changed"))
+    return slices.join(latest, key).filter("changed > started").select(*key)
+
+
+def refresh_stale(
+    spark: SparkSession,
+    raw_path: str,
+    gold_path: str,
+    exchange: str = EXCHANGE,
+    lookback_days: int = LOOKBACK_DAYS,
+    limits: Limits = Limits(),
+) -> list[tuple[str, str, str]]:
+    """Computes the stale slices again, and no others; returns (table, slice, symbol) of each.
+
+    One commit per slice date or month. States and bar parts are brought up to date once
+    for all of them.
+    """
+    configure(spark)
+    started = dt.datetime.now(dt.timezone.utc)
+    stale = stale_slices(spark, raw_path, gold_path, exchange, lookback_days)
+    found = sorted((r.slice, r.table_name, r.symbol) for r in stale.toLocalIterator())
+    for name, own in groupby(found, key=lambda r: r[0]):
+        wanted: dict[str, list[str]] = {}
+        for _, table, symbol in own:
+            wanted.setdefault(table, []).append(symbol)
+        date = name if "monthly_ohlc" not in wanted else f"{name}-01"
+        parts = stored_parts(spark, raw_path, exchange, *_month(date))
+        of_day = parts.filter(F.col("date") == F.lit(parse_date(date)))
+        tables = {}
+        for table, symbols in wanted.items():
+            if table == "features":
+                tables[table] = snapshot_from_states(spark, raw_path, date, exchange, lookback_days, symbols, limits)
+            else:
+                grain = {"hourly_ohlc": "hour", "daily_ohlc": "day", "monthly_ohlc": "month"}[table]
+                rows = parts if grain == "month" else of_day
+                tables[table] = merged_bars(rows.filter(F.col("symbol").isin(symbols)), grain)
+        publish(tables, gold_path, date, exchange, started=started)
+    return [(table, name, symbol) for name, table, symbol in found]
+
+
 def refresh(
     spark: SparkSession,
     raw_path: str,
