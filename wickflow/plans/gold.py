@@ -12,11 +12,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from wickflow.functions.calendar import parse_date
 from wickflow.functions.kline import EXCHANGE, SYMBOLS
@@ -144,18 +146,23 @@ def publish(
     slice_value = {"slice_date": F.lit(parse_date(date)), "slice_month": F.lit(month_of(date))}
     named = {"slice_date": str(parse_date(date)), "slice_month": month_of(date)}
     run = f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
-    counts, slices = {}, []
-    for name, table in tables.items():
+
+    def written(name: str) -> dict:
         column = TABLES[name][1].name
-        rows = table.withColumns({"exchange": F.lit(exchange), column: slice_value[column]})
-        found = write_slices(rows, f"{gold_path}/{name}", ["exchange", "symbol", column], run)
-        missing = set(symbols) - set(found["symbols"])
-        if missing or not found["rows"]:
+        rows = tables[name].withColumns({"exchange": F.lit(exchange), column: slice_value[column]})
+        return write_slices(rows, f"{gold_path}/{name}", ["exchange", "symbol", column], run)
+
+    # small jobs, so they run side by side
+    with ThreadPoolExecutor(len(tables)) as pool:
+        found = dict(zip(tables, pool.map(inheritable_thread_target(spark)(written), tables), strict=True))
+    slices = []
+    for name, own in found.items():
+        missing = set(symbols) - set(own["symbols"])
+        if missing or not own["rows"]:
             for other in tables:
                 _remove_runs(spark, gold_path, other, f"exchange={exchange}/*/*/run={run}")
             raise EmptyOutput(f"{name} has no rows for {date} {sorted(missing)}")
-        counts[name] = found["rows"]
-        slices += [(name, exchange, symbol, named[column]) for symbol in found["symbols"]]
+        slices += [(name, exchange, symbol, named[TABLES[name][1].name]) for symbol in own["symbols"]]
     before = [
         r.asDict()
         for r in committed(spark, gold_path)
@@ -167,7 +174,7 @@ def publish(
     commit = spark.createDataFrame([(*own, run, started, now) for own in slices], COMMIT)
     commit.hint("rebalance").write.parquet(f"{gold_path}/{RUNS}/commit={run}")
     _remove_replaced(spark, gold_path, before)
-    return counts
+    return {name: own["rows"] for name, own in found.items()}
 
 
 def _remove_replaced(spark: SparkSession, gold_path: str, before: list[dict]) -> None:
