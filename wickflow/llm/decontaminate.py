@@ -14,7 +14,8 @@ to the next block. Words are compared by a 64-bit hash.
 
 Edge cases: a null or empty text has no words and no hits; an item without words matches
 nothing; an item shorter than the window is one window of its own length. Rows that
-repeat an item id count as that item once per document. Repeated documents are judged one
+repeat an item id count as that item once per document; null ids are one item, whose name
+is empty. Repeated documents are judged one
 by one. Other columns travel in a struct, so their names cannot clash.
 """
 
@@ -246,21 +247,61 @@ def _searched(shared):
     return run
 
 
-def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), columns=["doc_id"])
+def digests(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id and what was found in the text, as numbers and a digest of the items' ids."""
+    found = find_matches(docs, items, columns=["doc_id"])
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    names = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
+    names = F.transform("items", lambda i: F.coalesce(i.cast("string"), F.lit("")))
     return found.select(
         "row.doc_id",
         "n_words",
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(names, 256).alias("items_sha256"),
+        F.sha2(F.array_join(F.sort_array(names), ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
         F.col("longest").alias("longest_match"),
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return digests(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 query = op8_decontamination
-ORACLE_SQL = None
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLE_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), items AS (
+    SELECT row_number() OVER () AS i, coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark
+), item_windows AS (
+    SELECT i, item, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS win
+    FROM (SELECT *, least({WINDOW}, len(w)) AS n, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS pos
+          FROM items WHERE len(w) > 0)
+), doc_windows AS (
+    SELECT r, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS win
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS pos
+          FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT r, d.pos, d.n, i, item, d.pos - i.pos AS diagonal
+    FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.win = i.win
+), covered AS (
+    SELECT r, count(DISTINCT pos + k) AS n_hit FROM hits, range({WINDOW}) AS t(k) WHERE k < n GROUP BY r
+), matched AS (
+    SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r
+), runs AS (
+    SELECT r, max(words) AS longest FROM (
+        SELECT r, count(*) + any_value(n) - 1 AS words FROM (
+            SELECT *, pos - row_number() OVER (PARTITION BY r, i, diagonal ORDER BY pos) AS run FROM hits
+        ) GROUP BY r, i, diagonal, run
+    ) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    n_hit IS NOT NULL AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest_match
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN matched USING (r) LEFT JOIN runs USING (r)
+"""
