@@ -231,8 +231,20 @@ def _asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return unique, np.bincount(place, ns, minlength=len(unique)).astype(np.int64), place, at
 
 
+def _listed(values: np.ndarray) -> bytes:
+    """Numbers of which few are distinct: those, and for each number which it is."""
+    distinct, which = np.unique(values, return_inverse=True)
+    head = _packed(distinct)
+    return len(head).to_bytes(8, "little") + head + _packed(which.astype(np.uint32))
+
+
+def _unlisted(data: bytes, kind: type) -> np.ndarray:
+    size = 8 + int.from_bytes(data[:8], "little")
+    return _unpacked(data[8:size], kind)[_unpacked(data[size:], np.uint32)]
+
+
 def _answers(table: pa.Table, values: np.ndarray, place: np.ndarray, at: np.ndarray) -> pa.Table:
-    found = [pa.compress(values[place[a:b]].tobytes(), "zstd", asbytes=True) for a, b in zip(at[:-1], at[1:], strict=True)]
+    found = [_listed(values[place[a:b]]) for a, b in zip(at[:-1], at[1:], strict=True)]
     return table.select(["block", "kind", "bucket"]).append_column("found", pa.array(found, pa.binary()))
 
 
@@ -330,7 +342,7 @@ def _sum_documents(n: int, v: int, docs: int, buckets: int):
             for bucket in np.flatnonzero(np.diff(at)).tolist():
                 a, b = at[bucket], at[bucket + 1]
                 found = right.column("found")[answers[kind, bucket]].as_py()
-                out[order[a:b]] = np.frombuffer(pa.decompress(found, 8 * int(b - a), "zstd", asbytes=True), dtype)
+                out[order[a:b]] = _unlisted(found, dtype)
             return out
 
         def per_document(values: np.ndarray, first: np.ndarray) -> np.ndarray:
