@@ -423,10 +423,13 @@ def score_documents(docs: DataFrame, held: Column, id_column: str = "doc_id", te
     n_docs = texts.agg(F.sum("n_train")).first()[0] or 0
     n, v = (counted.n or 0) + n_docs, (counted.v or 0) + (n_docs > 0)
     answers = by_bucket(GRAMS).applyInArrow(_gram_lengths(shared), ANSWERS).unionByName(words.drop("n", "v"))
+    # a task takes a block or two, not as many as fall into one of the session's partitions
+    parts = 2 * max(1, texts.count())
     return (
         texts.select("block", "stream", "size", "bounds", "ids", "held")
+        .repartition(parts, "block")
         .groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        .cogroup(answers.repartition(parts, "block").groupBy("block"))
         .applyInArrow(
             _sum_documents(int(n), int(v), int(n_docs), buckets),
             f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
