@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickflow.functions import calendar
-from wickflow.functions.kline import kline_message, parse_klines
+from wickflow.functions.kline import kline_message, parse_klines, stream_names
 from wickflow.operators import features as ft
 from wickflow.operators import ohlc as bars
 from wickflow.operators import partitions as parts
@@ -32,6 +32,7 @@ from wickflow.sources import raw as rawsrc
 from wickflow.sources.events import candles_from_events
 from wickflow.streaming.ingest import ingest, message_stream
 from wickflow.streaming.ingest import rejected_messages as kept_rejects
+from wickflow.streaming.subscription import record, subscribe
 
 # The training-data operators are optional: without their folder the rest works.
 try:
@@ -293,6 +294,20 @@ def ingest_stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rawsrc.raw_table(spark, raw).drop("ingestion_timestamp"))
 
 
+def ingest_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams recorded in two rounds and read through a subscription after each."""
+    recorded, raw = scratch_path(spark, "streams"), scratch_path(spark, "raw")
+    checkpoint = scratch_path(spark, "ingest-checkpoint")
+    names = dict(zip(SYMBOLS, stream_names(SYMBOLS, "1m"), strict=True))
+    rows = candles(spark, sf_dir).replace(names, subset=["symbol"]).withColumnRenamed("symbol", "stream")
+    rows = rows.withColumn("symbol", F.substring_index("stream", "@", 1))
+    for own in ("minute(candle_start_time) < 30", "minute(candle_start_time) >= 30"):
+        record(rows.filter(own).select("stream", kline_message().alias("value")), recorded)
+        stream = subscribe(spark, recorded, SYMBOLS)
+        ingest(stream, raw, checkpoint, SYMBOLS, exchange=EXCHANGE, drain=True).awaitTermination()
+    return shown(rawsrc.raw_table(spark, raw).drop("ingestion_timestamp"))
+
+
 def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that gave no candle, by reason, as the stream kept them beside the candles."""
     incoming, raw, rejected = (scratch_path(spark, n) for n in ("messages", "raw", "rejected"))
@@ -656,6 +671,7 @@ def oracle_sql() -> dict[str, str]:
         "collect_land_refresh": snapshot,
     }
     found["bars_from_parts"] = found["ohlc_monthly"]
+    found["ingest_subscription"] = found["ingest_stream_to_raw"]
     if llm is not None:
         found |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:
@@ -693,6 +709,7 @@ def queries() -> dict[str, Query]:
         next_gold_date,
         closed_partitions,
         ingest_stream_to_raw,
+        ingest_subscription,
         rejected_messages,
         land_redelivered,
         partition_index,
