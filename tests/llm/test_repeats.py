@@ -96,3 +96,9 @@ def test_heavy_surroundings_are_broadcast(spark, monkeypatch):
 def test_nothing_to_remove(spark):
     assert digests(spark, []) == []
     assert digests(spark, [(1, None), (2, "a")]) == brute([(1, None), (2, "a")])
+
+
+def test_texts_are_not_searched_again_for_spans(spark):
+    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in corpus()], SCHEMA)
+    plan = repeats.repeated_spans(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # spans are merged; anchors are read as stored

@@ -7,7 +7,8 @@ meets at the anchors:
 1. every text names its anchors, each with a hash of its surroundings (the ``REACH``
    bytes before it and ``WINDOW`` bytes from it, which hold every string with this
    anchor). Anchors that occur once are left out: a first pass over the texts counts
-   them, and a bitmap of fixed size keeps the others' rows from being made;
+   them, and a bitmap of fixed size keeps the others' rows from being made. These rows
+   are stored, so that texts are searched for anchors twice and not again for spans;
 2. surroundings that occur twice repeat throughout. Where an anchor has several
    different surroundings, one copy of each is fetched, and shards of at least ``SHARD``
    of them are cut into phrases at content-defined places. The suffix array of a shard's
@@ -394,8 +395,12 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     texts = texts.select("key", "size", "text").filter(F.col("size") >= WINDOW)
     counted = texts.select("text").mapInArrow(_counted, "anchor bigint, n bigint")
     sieve = _sieve(spark, counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1"))
-    occurrences = texts.select("key", "text").mapInArrow(
-        _occurrences(sieve), "key bigint, size int, at int, anchor bigint, around bigint"
+    # read three times: by pair, and for the spans of heavy and of other pairs
+    occurrences = stored(
+        texts.select("key", "text").mapInArrow(
+            _occurrences(sieve), "key bigint, size int, at int, anchor bigint, around bigint"
+        ),
+        "occurrences",
     )
     pair = ["anchor", "around"]
     pairs = stored(
