@@ -49,6 +49,8 @@ from wickflow.session import scratch_path
 ORDER = 6
 NEAR = 3
 BLOCK_BYTES = 12 << 20
+# Level of zstandard for coded texts, which are stored and then sent to the answers.
+TEXT_LEVEL = 9
 # Symbols whose code lengths are looked up at a time.
 PIECE = 2 << 20
 STRIDE = 1 << 20
@@ -132,6 +134,10 @@ def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).ravel()
 
 
+def _text_packed(stream: np.ndarray) -> bytes:
+    return pa.Codec("zstd", compression_level=TEXT_LEVEL).compress(pa.py_buffer(stream), asbytes=True)
+
+
 def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and how many of each are marked."""
     order = np.argsort(keys)
@@ -198,7 +204,7 @@ def _block_rows(buckets: int):
                 [
                     pa.array([block], pa.int64()),
                     *(pa.nulls(1, t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary())),
-                    pa.array([pa.compress(stream.tobytes(), "zstd", asbytes=True)], pa.binary()),
+                    pa.array([_text_packed(stream)], pa.binary()),
                     pa.array([len(stream)], pa.int64()),
                     _one(pa.array(bounds, pa.int64())),
                     _one(part.column("id")),
@@ -232,15 +238,16 @@ def _asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def _listed(values: np.ndarray) -> bytes:
-    """Numbers of which few are distinct: those, and for each number which it is."""
+    """Numbers of which few are distinct: those in order, as steps between their bits, and
+    for each number which it is."""
     distinct, which = np.unique(values, return_inverse=True)
-    head = _packed(distinct)
+    head = _packed(np.diff(distinct.view(np.int64), prepend=np.int64(0)))
     return len(head).to_bytes(8, "little") + head + _packed(which.astype(np.uint32))
 
 
 def _unlisted(data: bytes, kind: type) -> np.ndarray:
     size = 8 + int.from_bytes(data[:8], "little")
-    return _unpacked(data[8:size], kind)[_unpacked(data[size:], np.uint32)]
+    return np.cumsum(_unpacked(data[8:size], np.int64)).view(kind)[_unpacked(data[size:], np.uint32)]
 
 
 def _answers(table: pa.Table, values: np.ndarray, place: np.ndarray, at: np.ndarray) -> pa.Table:
